@@ -47,7 +47,8 @@ def label_title(label: Column) -> Column:
 
 def fixed(value: Column, places: int) -> Column:
     """Fixed number of decimals; exact halves go to the even neighbour."""
-    return F.format_string(f"%.{places}f", F.bround(value, places))
+    text = F.format_string(f"%.{places}f", F.bround(value, places))
+    return F.when(value.isNotNull(), text)
 
 
 def number_text(value: Column, places: int) -> Column:
@@ -55,6 +56,11 @@ def number_text(value: Column, places: int) -> Column:
     return F.regexp_replace(fixed(value, places), r"(\.\d+?)0+$", "$1")
 
 
+def drop_first(values: Column) -> Column:
+    """Array without its first element."""
+    return F.slice(values, F.lit(2), F.size(values))
+
+
 def contains_ignoring_case(col: Column, part: str) -> Column:
     return F.contains(F.lower(col), F.lit(part.lower()))
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidenza.functions.text import capitalize, label_title, let, number_text, strip
+from evidenza.functions.text import capitalize, drop_first, label_title, let, number_text, strip
 from evidenza.functions.vectors import cosine
 
 # ---------------------------------------------------------------------------
@@ -233,10 +233,10 @@ def answer_blocks(reports: DataFrame, key: Sequence[str] = ("country",), value:
     link, ``header`` is the answer line and ``evidence`` the quoted text.
     ``answer_text`` joins both, as the rules and quotes use it.
     """
-    parts = F.slice(F.split(F.col(value), r"(?m)^### "), F.lit(2), F.lit(2**31 - 1))
+    parts = drop_first(F.split(F.col(value), r"(?m)^### "))
     lines = F.split(F.col("_block"), r"\r?\n")
     plain = F.transform(
-        F.slice("_lines", F.lit(2), F.lit(2**31 - 1)),
+        drop_first(F.col("_lines")),
         lambda s: strip(
             F.regexp_replace(F.regexp_replace(F.replace(s, F.lit("**"), F.lit("")), r"^\s{0,3}>\s?", ""), r"\\`", "`")
         ),
@@ -257,7 +257,7 @@ def answer_blocks(reports: DataFrame, key: Sequence[str] = ("country",), value:
         .withColumn("_url", url)
     )
     is_header = F.coalesce(F.lower("_first").startswith("answer/evidence"), F.lit(False))
-    rest = F.slice("_content", F.lit(2), F.lit(2**31 - 1))
+    rest = drop_first(F.col("_content"))
     return blocks.select(
         *key,
         "block_no",

@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidenza.functions.text import fixed
+from evidenza.functions.text import drop_first, fixed
 from evidenza.operators.classify import CONFIDENCE_THRESHOLD, LABELS
 
 # Fixed values.
@@ -172,7 +172,7 @@ def page_confidences(pages: DataFrame, country: str = "country", value: str = "v
 
     Blocks without a confidence line drop out; an unreadable number counts 0.
     """
-    parts = F.slice(F.split(F.col(value), "## "), F.lit(2), F.lit(2**31 - 1))
+    parts = drop_first(F.split(F.col(value), "## "))
     blocks = pages.select(country, F.explode(parts).alias("_block"))
     first = F.btrim(F.get(F.split(F.btrim(F.col("_block"), F.lit(" \t\r\n")), r"\r?\n"), F.lit(0)))
     number = F.regexp_extract(F.col("_block"), r"(?m)^\s*[-*]\s+\*\*Confidence\*\*:\s+([0-9.]+)", 1)
