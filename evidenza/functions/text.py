@@ -46,9 +46,21 @@ def label_title(label: Column) -> Column:
 
 
 def fixed(value: Column, places: int) -> Column:
-    """Fixed number of decimals; exact halves go to the even neighbour."""
-    text = F.format_string(f"%.{places}f", F.bround(value, places))
-    return F.when(value.isNotNull(), text)
+    """Fixed number of decimals, rounded as the binary number really is.
+
+    ``format_string`` rounds the shortest decimal text of a number, so that a
+    double just below a half is rounded up.  Here the distance to the half is
+    taken without rounding error: the number is split into two parts whose
+    products with the scale are exact.  True halves go to the even neighbour.
+    """
+    value = value.cast("double")
+    scale = 10.0**places
+    high = F.rint(value * 2.0**26) / F.lit(2.0**26)
+    below = F.floor(value * scale).cast("double")
+    past_half = (high * (2 * scale) - (2 * below + 1)) + (value - high) * (2 * scale)
+    up = (past_half > 0) | ((past_half == 0) & (below % 2 != 0))
+    units = below + F.when(up, 1.0).otherwise(0.0)
+    return F.when(value.isNotNull(), F.format_string(f"%.{places}f", units / F.lit(scale)))
 
 
 def number_text(value: Column, places: int) -> Column:

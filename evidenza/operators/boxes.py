@@ -89,8 +89,7 @@ def quote_text(quote: Column) -> Column:
 
 def percent_text(confidence: Column) -> Column:
     """Confidence as a percentage, ``N/A`` if there is no number."""
-    value = F.round(confidence.try_cast("double") * 100, 2)
-    return F.coalesce(number_text(value, 2), F.lit("N/A"))
+    return F.coalesce(number_text(confidence.try_cast("double") * 100, 2), F.lit("N/A"))
 
 
 def format_boxes(infos: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidenza.functions.text import capitalize, drop_first, label_title, let, number_text, strip
+from evidenza.functions.text import capitalize, drop_first, fixed, label_title, let, number_text, strip
 from evidenza.functions.vectors import cosine
 
 # ---------------------------------------------------------------------------
@@ -215,7 +215,7 @@ def classify(
                 "year": extract_years(content, year_patterns, year_phrases),
                 "sectors": extract_terms(content, term_pattern),
                 "quote": F.left(content, F.lit(QUOTE_CHARS)),
-                score: F.round(F.col(score), 4),
+                score: fixed(F.col(score), 4).cast("double"),
             }
         )
         .drop(*[f"_f_{n}" for n in flags], "_low", "_negated")

@@ -213,7 +213,7 @@ def negation_note(t: Tables):
     SCORES
     + """,
 s AS (SELECT vec_id, list_dot_product(v, centroid) / (vn.norm * cn.norm) AS conf FROM vn JOIN cn ON cn.question_id = vn.label)
-SELECT vec_id, round(conf, 4) AS confidence, CASE WHEN conf < 0.7::DOUBLE THEN 'low_confidence' ELSE 'rules' END AS gate FROM s
+SELECT vec_id, round(conf, 4) + 0.0 AS confidence, CASE WHEN conf < 0.7::DOUBLE THEN 'low_confidence' ELSE 'rules' END AS gate FROM s
 """,
 )
 def confidence_gate(t: Tables):
@@ -222,7 +222,7 @@ def confidence_gate(t: Tables):
         "conf", C.confidence(F.col("question"), F.col("embedding"))
     )
     gate = F.when(C.is_low_confidence(F.col("conf")), C.LOW_CONFIDENCE).otherwise("rules")
-    return scored.select("vec_id", F.round("conf", 4).alias("confidence"), gate.alias("gate"))
+    return scored.select("vec_id", (F.round("conf", 4) + F.lit(0.0)).alias("confidence"), gate.alias("gate"))
 
 
 @query(

@@ -182,12 +182,12 @@ centroids AS (SELECT label, list(value ORDER BY dim) AS centroid FROM means GROU
 
 @query(
     "masked_mean_pool",
-    f"WITH {CENTROIDS} SELECT label, CAST(dim AS INTEGER) AS dim, round(value, 6) AS mean FROM means",
+    f"WITH {CENTROIDS} SELECT label, CAST(dim AS INTEGER) AS dim, round(value, 6) + 0.0 AS mean FROM means",
 )
 def masked_mean_pool(t: Tables):
     pooled = E.masked_mean_pool(_masked(t), ["label"])
     return pooled.select("label", F.posexplode("embedding").alias("dim", "x")).select(
-        "label", "dim", F.round("x", 6).alias("mean")
+        "label", "dim", (F.round("x", 6) + F.lit(0.0)).alias("mean")
     )
 
 
@@ -219,7 +219,7 @@ vn AS (SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM vs)
     "cosine_pairs",
     SCORES
     + """
-SELECT vec_id, label, round(CASE WHEN vn.norm * cn.norm > 0 THEN list_dot_product(v, centroid) / (vn.norm * cn.norm) ELSE 0 END, 6)
+SELECT vec_id, label, round(CASE WHEN vn.norm * cn.norm > 0 THEN list_dot_product(v, centroid) / (vn.norm * cn.norm) ELSE 0 END, 6) + 0.0
        AS similarity
 FROM vn JOIN cn ON cn.question_id = vn.label
 """,
@@ -227,7 +227,7 @@ FROM vn JOIN cn ON cn.question_id = vn.label
 def cosine_pairs(t: Tables):
     pooled = E.masked_mean_pool(_masked(t), ["label"]).withColumnRenamed("embedding", "centroid")
     pairs = t.embeddings.join(pooled, "label")
-    similarity = F.round(cosine(F.col("embedding"), F.col("centroid")), 6)
+    similarity = F.round(cosine(F.col("embedding"), F.col("centroid")), 6) + F.lit(0.0)
     return pairs.select("vec_id", "label", similarity.alias("similarity"))
 
 
@@ -241,14 +241,14 @@ scored AS (
   FROM vn CROSS JOIN cn),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY country, question_id ORDER BY score DESC, vec_id) AS rn FROM scored)
-SELECT country, question_id, vec_id, round(score, 6) AS score FROM ranked WHERE rn = 1
+SELECT country, question_id, vec_id, score + 0.0 AS score FROM ranked WHERE rn = 1
 """,
 )
 def top1_evidence(t: Tables):
     questions = E.masked_mean_pool(_masked(t), ["label"]).withColumnRenamed("label", "question_id")
     candidates = t.embeddings.withColumnRenamed("label", "country")
     best = R.best_evidence(candidates, questions, order=["vec_id"])
-    return best.select("country", "question_id", "vec_id", F.round("score", 6).alias("score"))
+    return best.select("country", "question_id", "vec_id", "score")
 
 
 # --- words ------------------------------------------------------------------
@@ -381,11 +381,11 @@ def _document_evidence(t: Tables, k: int = 1):
 @query(
     "document_evidence",
     BEST_CHUNKS
-    + "SELECT country, question_id, doc_id, chunk_idx, round(score, 6) AS score, md5(chunk) AS chunk_md5 FROM best",
+    + "SELECT country, question_id, doc_id, chunk_idx, score, md5(chunk) AS chunk_md5 FROM best",
 )
 def document_evidence(t: Tables):
     return _document_evidence(t).select(
-        "country", "question_id", "doc_id", "chunk_idx", F.round("score", 6).alias("score"), F.md5("chunk").alias("chunk_md5")
+        "country", "question_id", "doc_id", "chunk_idx", "score", F.md5("chunk").alias("chunk_md5")
     )
 
 
@@ -393,13 +393,13 @@ def document_evidence(t: Tables):
     "document_evidence_top3",
     BEST_CHUNKS
     + """
-SELECT country, question_id, CAST(rn AS INTEGER) AS place, doc_id, chunk_idx, round(score, 6) AS score
+SELECT country, question_id, CAST(rn AS INTEGER) AS place, doc_id, chunk_idx, score
 FROM ranked WHERE rn <= 3
 """,
 )
 def document_evidence_top3(t: Tables):
     return _document_evidence(t, k=3).select(
-        "country", "question_id", F.col("rank").alias("place"), "doc_id", "chunk_idx", F.round("score", 6).alias("score")
+        "country", "question_id", F.col("rank").alias("place"), "doc_id", "chunk_idx", "score"
     )
 
 
