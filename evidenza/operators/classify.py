@@ -172,54 +172,78 @@ def _first_match(label: Column, flags: Mapping[str, Column], rules: Sequence[Rul
     return chain
 
 
-def classify(
+def tag_answers(
     answers: DataFrame,
     text: str = "answer_text",
-    label: str = "label",
-    score: str = "confidence",
-    source_url: str = "source_url",
-    rules: Sequence[Rule] = RULES,
     flag_patterns: Mapping[str, str] = FLAG_PATTERNS,
     ignored: Mapping[str, str] = IGNORED_IN_FLAGS,
     year_patterns: Sequence[str] = YEAR_PATTERNS,
     year_phrases: Mapping[str, str] = YEAR_PHRASES,
     term_pattern: str = SECTOR_PATTERN,
     negation_pattern: str = NEGATION_PATTERN,
-    threshold: float = CONFIDENCE_THRESHOLD,
     policy_entity: str | None = None,
 ) -> DataFrame:
-    """Append the prediction columns to rows of (label, text, score, source_url).
+    """Append what the rules need to know of each text: ``flags`` (a struct of
+    booleans), ``negated``, ``year``, ``sectors`` and ``quote``.
 
-    Row-local: one projection without a shuffle.  ``score`` is the unrounded
-    similarity and is replaced by its value rounded to four places.
+    A text that answers several questions is best tagged before it is repeated
+    per label, without its text.
     """
     content = F.col(text)
     entity = F.col(policy_entity) if policy_entity else None
     flags = flag_terms(content, flag_patterns, ignored, entity)
-    tagged = answers.withColumns({f"_f_{n}": c for n, c in flags.items()}).withColumns(
-        {"_low": is_low_confidence(F.col(score), threshold), "_negated": negated(content, negation_pattern)}
+    return answers.withColumns(
+        {
+            "flags": F.struct(*[c.alias(n) for n, c in flags.items()]),
+            "negated": negated(content, negation_pattern),
+            "year": extract_years(content, year_patterns, year_phrases),
+            "sectors": extract_terms(content, term_pattern),
+            "quote": F.left(content, F.lit(QUOTE_CHARS)),
+        }
     )
-    known = {n: F.col(f"_f_{n}") for n in flags}
+
+
+def apply_rules(
+    tagged: DataFrame,
+    label: str = "label",
+    score: str = "confidence",
+    rules: Sequence[Rule] = RULES,
+    threshold: float = CONFIDENCE_THRESHOLD,
+) -> DataFrame:
+    """Append ``yes_no`` and ``explanation``; ``score`` is rounded to four places.
+
+    ``score`` comes as the unrounded similarity, on which the threshold acts.
+    """
+    known = {n: F.col(f"flags.{n}") for n in tagged.schema["flags"].dataType.fieldNames()}
     answer = _first_match(F.col(label), known, rules, "answer").otherwise("no")
     reason = _first_match(F.col(label), known, rules, "explanation")
     noted = F.when(
-        F.col("_negated") & F.col("yes_no").isin("yes", "soft_yes"),
-        F.concat(reason, F.lit(NEGATION_NOTE)),
+        F.col("negated") & answer.isin("yes", "soft_yes"), F.concat(reason, F.lit(NEGATION_NOTE))
     ).otherwise(reason)
-    low = F.col("_low")
-    return (
-        tagged.withColumn("yes_no", F.when(low, LOW_CONFIDENCE).otherwise(answer))
-        .withColumn("explanation", F.when(low, LOW_CONFIDENCE_TEXT).otherwise(noted))
-        .withColumns(
-            {
-                "year": extract_years(content, year_patterns, year_phrases),
-                "sectors": extract_terms(content, term_pattern),
-                "quote": F.left(content, F.lit(QUOTE_CHARS)),
-                score: fixed(F.col(score), 4).cast("double"),
-            }
-        )
-        .drop(*[f"_f_{n}" for n in flags], "_low", "_negated")
-    )
+    low = is_low_confidence(F.col(score), threshold)
+    return tagged.withColumns(
+        {
+            "yes_no": F.when(low, LOW_CONFIDENCE).otherwise(answer),
+            "explanation": F.when(low, LOW_CONFIDENCE_TEXT).otherwise(noted),
+            score: fixed(F.col(score), 4).cast("double"),
+        }
+    ).drop("flags", "negated")
+
+
+def classify(
+    answers: DataFrame,
+    text: str = "answer_text",
+    label: str = "label",
+    score: str = "confidence",
+    rules: Sequence[Rule] = RULES,
+    threshold: float = CONFIDENCE_THRESHOLD,
+    **tag_options,
+) -> DataFrame:
+    """Predictions of rows of (label, text, score): tags, then rules.
+
+    Row-local: projections without a shuffle.
+    """
+    return apply_rules(tag_answers(answers, text, **tag_options), label, score, rules, threshold)
 
 
 # --- report blocks ----------------------------------------------------------

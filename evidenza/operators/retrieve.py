@@ -9,7 +9,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,14 +66,16 @@ def chunk_lineage(
 # --- scoring ----------------------------------------------------------------
 
 
-def _question_blocks(questions: DataFrame, size: int) -> list[DataFrame]:
-    total = questions.count()
-    if total <= size:
-        return [questions]
-    # one spare block in four keeps a block from passing the size by chance
-    blocks = math.ceil(total / size * 1.25)
+def _question_blocks(questions: DataFrame, size: int) -> Iterator[list[Row]]:
+    """Questions in blocks of about ``size`` rows; usually all of them in one block."""
+    rows = questions.limit(size + 1).collect()
+    if len(rows) <= size:
+        yield rows
+        return
+    blocks = math.ceil(questions.count() / size)
     block = F.pmod(F.xxhash64("question_id"), F.lit(blocks))
-    return [questions.filter(block == b) for b in range(blocks)]
+    for b in range(blocks):
+        yield questions.filter(block == b).collect()
 
 
 def best_evidence(
@@ -97,7 +99,8 @@ def best_evidence(
     Each Arrow batch is scored with one matrix product and only its own winners
     leave the task: candidate-question pairs are never rows, and a group that
     holds most of the candidates is reduced in parallel before the shuffle.
-    Ties go to the lowest ``order``.
+    Ties go to the lowest ``order``.  Question sets beyond ``question_block``
+    rows are scored in several passes, each with a block of bounded size.
     """
     source = text if encoder_factory else vector
     kept_columns = list(dict.fromkeys([group, *order, *carry]))
@@ -116,7 +119,7 @@ def best_evidence(
     spark = candidates.sparkSession
     winners = []
     for block in _question_blocks(questions.select("question_id", "embedding"), question_block):
-        rows = [r for r in block.collect() if r.embedding is not None]
+        rows = [r for r in block if r.embedding is not None]
         if not rows:
             continue
         ids = [r.question_id for r in rows]

@@ -85,24 +85,17 @@ predictions AS (
 """
 
 
-def _answers(t: Tables):
+def _predictions(t: Tables):
     """Every document as the answer to all five questions."""
     length = F.col("n_chars").cast("double")
-    documents = t.wide("documents", "doc_id", "text", "lang", "source", "n_chars")
-    return documents.select(
+    documents = t.wide("documents", "doc_id", "text", "lang", "n_chars").select(
         F.col("doc_id").alias("country"),
-        "source",
         F.col("text").alias("answer_text"),
         F.when(F.col("lang") != "de", length / (length + 300.0)).alias("confidence"),
         F.when(F.col("lang") != "es", F.concat(F.lit("https://example.org/"), "doc_id")).alias("source_url"),
-        F.explode(F.array(*[F.lit(x) for x in C.LABELS])).alias("label"),
     )
-
-
-def _predictions(t: Tables):
-    return C.classify(
-        _answers(t),
-        rules=RULES,
+    tagged = C.tag_answers(
+        documents,
         flag_patterns=FLAGS,
         ignored=IGNORED,
         year_patterns=YEARS,
@@ -110,6 +103,8 @@ def _predictions(t: Tables):
         term_pattern=TERMS,
         negation_pattern=NEGATION,
     ).drop("answer_text")
+    asked = tagged.withColumn("label", F.explode(F.array(*[F.lit(x) for x in C.LABELS])))
+    return C.apply_rules(asked, rules=RULES)
 
 
 # --- blocks and labels ------------------------------------------------------

@@ -9,6 +9,7 @@ from evidenza.operators import embed as E
 from evidenza.operators import retrieve as R
 from evidenza.operators.ingest import country_name, valid_sections
 from evidenza.plans.catalog import Tables, query
+from evidenza.session import materialize
 
 DIM = 64
 
@@ -60,7 +61,8 @@ WHERE trim(chunk, {WS}) <> ''
 
 def _sections(t: Tables):
     vectors = t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding")
-    return t.documents.join(vectors, "doc_id", "left").select(
+    documents = t.wide("documents", "doc_id", "source", "text")
+    return documents.join(vectors, "doc_id", "left").select(
         F.col("doc_id").alias("section_url"),
         F.col("source").alias("country_doc_id"),
         F.col("text").alias("text_content"),
@@ -281,6 +283,8 @@ def word_tokens(t: Tables):
 @query("word2vec_docs")
 def word2vec_docs(t: Tables):
     tokens = t.wide("documents", "doc_id", "text").select("doc_id", E.word_tokens(F.col("text")).alias("tokens"))
+    # read by the vocabulary pass, the training pass and the transform
+    tokens = materialize(tokens, "word-tokens")
     model = E.fit_word_vectors(tokens, vector_size=32)
     vectors = E.word_vector_documents(tokens, model, ["doc_id"])
     return vectors.select("doc_id", "n_words", F.size("document_vector").alias("dim"))

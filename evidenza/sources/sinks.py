@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _by_country(df: DataFrame, country: str, path: str, kind: str, order: Sequence[str] = ()) -> None:
+def _by_country(
+    df: DataFrame, country: str, path: str, kind: str, order: Sequence[str] = (), keep_order: bool = True
+) -> None:
     """Directory per country, replacing only the countries that are written.
 
-    Range partitioning keeps a small country in one file and splits a country
-    that holds most of the rows over many, in order.
+    Range partitioning on (country, ``order``) keeps a small country in one file
+    and splits a country that holds most of the rows over many, in order.
     """
-    ordered = df.repartitionByRange(country, *order)
-    if order:
-        ordered = ordered.sortWithinPartitions(country, *order).drop(*order)
+    ordered = df.repartitionByRange(country, *order).sortWithinPartitions(country, *order)
+    if not keep_order:
+        ordered = ordered.drop(*order)
     writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     getattr(writer.partitionBy(country), kind)(path)
 
@@ -33,35 +35,31 @@ def write_lines(
 
     A repeated write replaces a country's lines instead of appending them again.
     """
-    _by_country(df.select(country, *order, line), country, path, "text", order)
+    _by_country(df.select(country, *order, line), country, path, "text", order, keep_order=False)
 
 
 def write_structured(sections: DataFrame, path: str, country: str = "country") -> None:
     """Structured JSON, one object per section line: ``{country_name, sections:{title:{content,url}}}``."""
     body = F.create_map(F.col("section_title"), F.struct("content", F.col("section_url").alias("url")))
-    _by_country(
-        sections.select(country, "country_name", body.alias("sections")), country, path, "json"
-    )
+    rows = sections.select(country, "country_name", body.alias("sections"), "section_url")
+    _by_country(rows, country, path, "json", ["section_url"], keep_order=False)
 
 
 def write_unstructured(
     sections: DataFrame, path: str, lines, version: str = "1.0", country: str = "country"
 ) -> None:
     """Flattened JSON, one object per section line; ``lines`` is the content column."""
-    _by_country(
-        sections.select(
-            country,
-            F.col(country).alias("country_slug"),
-            "country_name",
-            lines.alias("content"),
-            F.create_map("section_title", "section_url").alias("urls"),
-            F.col("scraped_at").alias("timestamp"),
-            F.lit(version).alias("version"),
-        ),
+    rows = sections.select(
         country,
-        path,
-        "json",
+        F.col(country).alias("country_slug"),
+        "country_name",
+        lines.alias("content"),
+        F.create_map("section_title", "section_url").alias("urls"),
+        F.col("scraped_at").alias("timestamp"),
+        F.lit(version).alias("version"),
+        "section_url",
     )
+    _by_country(rows, country, path, "json", ["section_url"], keep_order=False)
 
 
 def write_items(items: DataFrame, path: str, country: str = "country", section: str = "section_title") -> None:
