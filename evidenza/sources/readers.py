@@ -18,9 +18,8 @@ from evidenza.schemas import PREDICTION, STRUCTURED_DOCUMENT, TRUTH, UNSTRUCTURE
 
 def _whole_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
-        .text(path)
+        spark.read.option("pathGlobFilter", pattern)
+        .text(path, wholetext=True)
         .select(F.col("_metadata.file_name").alias("file_name"), "value")
     )
 
@@ -109,7 +108,7 @@ def explode_nested(rows: DataFrame, leaf: T.StructType, value: str = "value") ->
 
 
 def _read_nested(spark: SparkSession, path: str, leaf: T.StructType, lines: bool) -> DataFrame:
-    rows = spark.read.text(path) if lines else spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=not lines)
     return explode_nested(rows.filter(F.btrim("value") != ""), leaf)
 
 
