@@ -249,6 +249,20 @@ def classify(
 # --- report blocks ----------------------------------------------------------
 
 
+def _plain_markdown(line: Column) -> Column:
+    """Text of a Markdown line: quote, heading, list and bold marks and escapes removed.
+
+    As in rendering, heading and list marks count at the line start only, and a
+    ``**`` with blanks on both sides is no bold mark.
+    """
+    unquoted = F.regexp_replace(line, "^ {0,3}> ?", "")
+    unmarked = F.regexp_replace(unquoted, r"^(#{1,6}\s*|[-*+]\s+)", "")
+    lone = F.regexp_replace(unmarked, r"(?<=^|\s)\*\*(?=\s|$)", "\x03")
+    unbolded = F.regexp_replace(lone, r"\*\*(.+?)\*\*", "$1")
+    kept = F.replace(unbolded, F.lit("\x03"), F.lit("**"))
+    return F.replace(kept, F.lit("\\`"), F.lit("`"))
+
+
 def answer_blocks(reports: DataFrame, key: Sequence[str] = ("country",), value: str = "value") -> DataFrame:
     """Question blocks of Markdown reports.
 
@@ -259,12 +273,7 @@ def answer_blocks(reports: DataFrame, key: Sequence[str] = ("country",), value:
     """
     parts = drop_first(F.split(F.col(value), r"(?m)^### "))
     lines = F.split(F.col("_block"), r"\r?\n")
-    plain = F.transform(
-        drop_first(F.col("_lines")),
-        lambda s: strip(
-            F.regexp_replace(F.regexp_replace(F.replace(s, F.lit("**"), F.lit("")), r"^\s{0,3}>\s?", ""), r"\\`", "`")
-        ),
-    )
+    plain = F.transform(drop_first(F.col("_lines")), lambda line: strip(_plain_markdown(line)))
     content = F.filter(
         "_plain",
         lambda s: (s != "") & ~s.rlike(r"^(-{3,}|\*{3,})$") & ~F.lower(s).startswith("source url:"),

@@ -134,7 +134,10 @@ def qa_blocks(t: Tables):
 SELECT e.country, CAST(question_id AS INTEGER) AS block_no,
        'Question ' || (question_id + 1) || ': ' || trim(regexp_replace(b.text, '[\\r\\n]+', ' ', 'g'), E' \\t\\r\\n') AS question,
        'Answer/Evidence (Similarity: ' || printf('%.4f', score) || '):' AS header,
-       md5(trim(replace(replace(chunk, chr(10), ' '), '**', ''), E' \\t\\r\\n')) AS evidence_md5,
+       md5(trim(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+             replace(chunk, chr(10), ' '), '^(#{1,6}\\s*|[-*+]\\s+)', ''),
+             '(^|\\s)\\*\\*(\\s|$)', '\\1' || chr(3) || '\\2', 'g'), '(^|\\s)\\*\\*(\\s|$)', '\\1' || chr(3) || '\\2', 'g'),
+             '\\*\\*(.+?)\\*\\*', '\\1', 'g'), chr(3), '**'), E' \\t\\r\\n')) AS evidence_md5,
        'https://example.org/' || doc_id AS source_url
 FROM best e JOIN benchmark b ON b.item_id = e.question_id
 """,
