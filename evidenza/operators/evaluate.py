@@ -100,11 +100,16 @@ def precision_recall_f1(
 def evaluate(
     truth: DataFrame, predictions: DataFrame, labels: Sequence[str] = LABELS, country: str = "country"
 ) -> DataFrame:
-    """Scores over the countries that both sides hold."""
-    both = align_countries(truth, predictions, country).filter("status = 'both'").select(country)
-    expected = binarize(both, truth, labels, country=country, name="y_true")
-    found = binarize(both, predictions, labels, country=country, name="y_pred")
-    return precision_recall_f1(expected.join(found, [country, "label"]), country)
+    """Scores over the countries that both sides hold; a missing answer counts as 0."""
+    key = [country, "label"]
+    both = align_countries(truth, predictions, country).filter("status = 'both'")
+    expected = truth.select(*key, F.col("yes_no").alias("_truth"))
+    found = predictions.select(*key, F.col("yes_no").alias("_pred"))
+    cells = label_grid(both, labels, country).join(expected, key, "left").join(found, key, "left")
+    return precision_recall_f1(
+        cells.select(*key, is_positive(F.col("_truth")).alias("y_true"), is_positive(F.col("_pred")).alias("y_pred")),
+        country,
+    )
 
 
 def truth_template(
@@ -116,50 +121,40 @@ def truth_template(
 
 
 def summary_lines(scores: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
-    """Markdown summary as ``(block, place, name, line)`` rows.
+    """Markdown summary as ``(block, place, name, line)`` rows, in one pass over the scores.
 
     Order by block, place, name; the per-country table may be of any length.
+    The overall row brings the headings.
     """
-    known = F.array(*[F.lit(x) for x in labels])
 
-    def table(heading: str, width: int) -> Column:
+    def table(heading: str, width: int) -> str:
         head = f"| {heading:<{width}} | Precision | Recall | F1-score |"
         rule = f"|{'-' * (width + 2)}|-----------|--------|----------|"
-        return F.lit(f"{head}\n{rule}")
+        return f"{head}\n{rule}"
 
-    def row(name: Column, width: int) -> Column:
-        scores = [fixed(F.col(c), 2) for c in ("precision", "recall", "f1")]
-        return F.format_string(f"| %-{width}s | %s     | %s  | %s    |", name, *scores)
-
-    overall = F.format_string(
-        "- **Precision:** %s\n- **Recall:** %s\n- **F1-score:** %s\n",
-        *[fixed(F.col(c), 2) for c in ("precision", "recall", "f1")],
-    )
+    def row(name: str, width: int) -> Column:
+        return F.format_string(f"| %-{width}s | %s     | %s  | %s    |", F.col(name), *numbers)
 
-    def lines(level: str, block: int, title: str, head: Column | None, body: Column, name: Column, place: Column):
-        rows = scores.filter(F.col("level") == level)
-        heading = F.lit(title) if head is None else F.concat(F.lit(title + "\n"), head)
-        top = scores.filter("level = 'overall'").select(
-            F.lit(block).alias("block"), F.lit(-1).alias("place"), F.lit("").alias("name"), heading.alias("line")
-        )
-        return top.unionByName(
-            rows.select(F.lit(block).alias("block"), place.cast("int").alias("place"), name.alias("name"), body.alias("line"))
+    def line(block: int, place: Column, name: Column, text: Column) -> Column:
+        return F.struct(
+            F.lit(block).alias("block"), place.cast("int").alias("place"), name.alias("name"), text.alias("line")
         )
 
-    nothing = F.lit("")
-    return (
-        lines("overall", 1, "## ✅ Overall Evaluation Results", None, overall, nothing, F.lit(0))
-        .unionByName(
-            lines(
-                "label", 2, "## 📊 Per-label Performance", table("Target Field", 22),
-                row(F.col("label"), 22), F.col("label"), F.array_position(known, F.col("label")),
-            )
-        )
-        .unionByName(
-            lines(
-                "country", 3, "\n## 🗺️ Per-country Performance", table("Country", 16),
-                row(F.col("country"), 16), F.col("country"), F.lit(0),
-            )
+    numbers = [fixed(F.col(c), 2) for c in ("precision", "recall", "f1")]
+    first, none = F.lit(-1), F.lit("")
+    overall = F.array(
+        line(1, first, none, F.lit("## ✅ Overall Evaluation Results")),
+        line(1, F.lit(0), none, F.format_string("- **Precision:** %s\n- **Recall:** %s\n- **F1-score:** %s\n", *numbers)),
+        line(2, first, none, F.lit("## 📊 Per-label Performance\n" + table("Target Field", 22))),
+        line(3, first, none, F.lit("\n## 🗺️ Per-country Performance\n" + table("Country", 16))),
+    )
+    place = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("label"))
+    level = F.col("level")
+    return scores.select(
+        F.inline(
+            F.when(level == "overall", overall)
+            .when(level == "label", F.array(line(2, place, F.col("label"), row("label", 22))))
+            .otherwise(F.array(line(3, F.lit(0), F.col("country"), row("country", 16))))
         )
     )
 

@@ -105,7 +105,7 @@ def structured_json(t: Tables):
         F.col("is_corrupt").cast("int").alias("is_corrupt"),
         F.when(readable, F.col("country_name")).alias("country_name"),
         F.when(readable, F.size(F.map_keys("sections"))).alias("n_sections"),
-        F.when(readable & lines.isNotNull(), F.size(lines)).alias("n_lines"),
+        F.when(readable & lines.isNotNull(), F.size(lines)).cast("bigint").alias("n_lines"),
         F.when(readable, summary["url"]).alias("summary_url"),
         F.when(readable, F.md5(I.combined_text(F.col("sections")))).alias("combined_md5"),
     )
@@ -150,7 +150,7 @@ def unstructured_json(t: Tables):
     return parsed.select(
         "country",
         "country_slug",
-        F.size("content").alias("n_lines"),
+        F.size("content").cast("bigint").alias("n_lines"),
         F.md5(F.array_join("content", "\n")).alias("content_md5"),
         F.try_element_at("urls", F.lit("Summary")).alias("summary_url"),
         F.date_format(F.col("timestamp").try_cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("scraped_at"),

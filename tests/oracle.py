@@ -23,9 +23,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _kind(type_name: str) -> str:
     name = type_name.upper()
-    if name in ("BIGINT", "LONG", "INT", "INTEGER", "SMALLINT", "HUGEINT"):
-        return "integer"
-    return {"VARCHAR": "STRING"}.get(name, name)
+    return {"VARCHAR": "STRING", "INTEGER": "INT"}.get(name, name)
 
 
 def _plain(value):

@@ -137,6 +137,10 @@ def test_word_vectors(spark, tmp_path):
     expected = np.mean([vectors[w] for w in rows[0][1] if w in vectors], axis=0)
     assert got[0].n_words == 6 and np.allclose(got[0].document_vector, expected, atol=1e-6)
     assert got[99].document_vector is None
+    joined = {r.id: r for r in E.word_vector_documents(tokens, model, ["id"], broadcast_words=2).collect()}
+    assert {k: (r.n_words, r.document_vector) for k, r in joined.items()} == {
+        k: (r.n_words, r.document_vector) for k, r in got.items()
+    }
     from pyspark.ml.feature import Word2VecModel
 
     path = E.save_word_vectors(model, str(tmp_path / "model"))
