@@ -17,7 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows carry whole texts, so keep Arrow batches small in rows
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }

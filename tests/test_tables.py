@@ -179,7 +179,7 @@ def test_best_evidence_equals_brute_force(spark, k, block):
     try:
         found = R.best_evidence(df, qdf, k=k, question_block=block).collect()
     finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
     got = {(r.country, r.question_id, r["rank"]): (r.chunk_idx, round(r.score, 6)) for r in found}
     assert got == brute_force(rows, questions, k)
 
