@@ -262,16 +262,18 @@ SQL_ENDINGS = E.WORD_ENDINGS.replace("'", "''")
 SQL_STARTS = E.WORD_STARTS.replace("'", "''")
 
 
-@query(
-    "word_tokens",
-    rf"""
+WORD_LISTS = rf"""
 WITH pieces AS (
   SELECT doc_id, list_transform(string_split_regex(lower(text), '{SQL_SEPARATOR}'),
     lambda p: regexp_replace(regexp_replace(p, '{SQL_STARTS}', ''), '{SQL_ENDINGS}', '')) AS ps FROM documents),
 words AS (
   SELECT doc_id, list_filter(ps, lambda w: regexp_full_match(w, '\p{{L}}{{3,}}') AND w NOT IN ({STOP_LIST})) AS ws FROM pieces)
-SELECT doc_id, len(ws) AS n_words, md5(array_to_string(ws, ' ')) AS words_md5 FROM words
-""",
+"""
+
+
+@query(
+    "word_tokens",
+    WORD_LISTS + "SELECT doc_id, len(ws) AS n_words, md5(array_to_string(ws, ' ')) AS words_md5 FROM words",
 )
 def word_tokens(t: Tables):
     tokens = t.wide("documents", "doc_id", "text").select("doc_id", E.word_tokens(F.col("text")).alias("ws"))
@@ -280,14 +282,26 @@ def word_tokens(t: Tables):
     )
 
 
-@query("word2vec_docs")
+@query(
+    "word2vec_docs",
+    WORD_LISTS
+    + """,
+tokens AS (SELECT doc_id, unnest(ws) AS word FROM words),
+vocabulary AS (SELECT word FROM tokens GROUP BY word HAVING count(*) >= 5),
+counts AS (SELECT doc_id, count(*) AS n FROM tokens SEMI JOIN vocabulary USING (word) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_words, CASE WHEN n > 0 THEN 32 END AS dim
+FROM documents d LEFT JOIN counts c ON c.doc_id = d.doc_id
+""",
+)
 def word2vec_docs(t: Tables):
     tokens = t.wide("documents", "doc_id", "text").select("doc_id", E.word_tokens(F.col("text")).alias("tokens"))
     # read by the vocabulary pass, the training pass and the transform
     tokens = materialize(tokens, "word-tokens")
     model = E.fit_word_vectors(tokens, vector_size=32)
     vectors = E.word_vector_documents(tokens, model, ["doc_id"])
-    return vectors.select("doc_id", "n_words", F.size("document_vector").alias("dim"))
+    return vectors.select(
+        "doc_id", F.col("n_words").cast("bigint").alias("n_words"), F.size("document_vector").alias("dim")
+    )
 
 
 # --- sentences and chunks ---------------------------------------------------
