@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
@@ -151,27 +152,34 @@ class _BlockReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.containers = containers
         self.open: list[tuple[str, frozenset, dict | None]] = []
+        self.open_tags: Counter[str] = Counter()
+        self.open_blocks: list[dict] = []
         self.blocks: list[dict] = []
         self.bold_depth = 0
         self.silent = 0
 
     def _write(self, text: str) -> None:
-        for _, _, block in self.open:
-            if block is not None:
-                block["parts"].append(text)
+        for block in self.open_blocks:
+            block["parts"].append(text)
 
     def _close(self, index: int) -> None:
         while len(self.open) > index:
-            tag = self.open[-1][0]
+            tag, _, block = self.open[-1]
             if tag in self.bold:
                 self.bold_depth -= 1
                 if self.bold_depth == 0:
                     self._write("**")
             self.open.pop()
+            self.open_tags[tag] -= 1
+            if block is not None:
+                self.open_blocks.pop()
 
-    def _last(self, tags: Sequence[str], barriers: Sequence[str] = ()) -> int | None:
+    def _last(self, tag: str, barriers: Sequence[str] = ()) -> int | None:
+        """Place of the innermost open ``tag`` that no barrier hides."""
+        if not self.open_tags[tag]:
+            return None
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in tags:
+            if self.open[i][0] == tag:
                 return i
             if self.open[i][0] in barriers:
                 return None
@@ -181,11 +189,11 @@ class _BlockReader(HTMLParser):
         if tag in ("script", "style"):
             self.silent += 1
         if tag in self.ends_paragraph:
-            found = self._last(("p",), ("td", "th", "button"))
+            found = self._last("p", ("td", "th", "button"))
             if found is not None:
                 self._close(found)
         if tag == "li":
-            found = self._last(("li",), ("ul", "ol"))
+            found = self._last("li", ("ul", "ol"))
             if found is not None:
                 self._close(found)
         if tag in self.void:
@@ -196,6 +204,7 @@ class _BlockReader(HTMLParser):
         if tag in wanted:
             block = {"tag": tag, "has_id": bool(attributes.get("id")), "parts": []}
             self.blocks.append(block)
+            self.open_blocks.append(block)
         names = [tag] + ["." + c for c in (attributes.get("class") or "").split()]
         inside = wanted.union(*(self.containers.get(n, ()) for n in names))
         if tag in self.bold:
@@ -203,11 +212,12 @@ class _BlockReader(HTMLParser):
                 self._write("**")
             self.bold_depth += 1
         self.open.append((tag, inside, block))
+        self.open_tags[tag] += 1
 
     def handle_endtag(self, tag):
         if tag in ("script", "style") and self.silent:
             self.silent -= 1
-        found = self._last((tag,))
+        found = self._last(tag)
         if found is not None:
             self._close(found)
 
