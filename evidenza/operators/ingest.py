@@ -80,6 +80,19 @@ def insert_if_absent(
 # --- upserts ----------------------------------------------------------------
 
 
+def _same_key(key: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in key])
+
+
+def _touched(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Stored rows that the incoming rows refer to.
+
+    A small batch is broadcast for this, so that a large stored table is only
+    scanned and never shuffled.
+    """
+    return existing.join(incoming.select(*key), list(key), "left_semi")
+
+
 def upsert(
     existing: DataFrame,
     incoming: DataFrame,
@@ -90,14 +103,20 @@ def upsert(
 
     ``columns`` gives each output column as an expression over ``old.*`` and
     ``new.*``; ``old._there`` / ``new._there`` tell which sides hold the row.
+
+    Stored rows are left-joined to the batch and new rows are added, in place of
+    one full outer join, which would always shuffle the whole stored table.
     """
     old = existing.withColumn("_there", F.lit(True)).alias("old")
-    new = incoming.withColumn("_there", F.lit(True)).alias("new")
-    same_key = reduce(lambda a, b: a & b, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in key])
+    nothing = existing.filter(F.lit(False)).withColumn("_there", F.lit(True)).alias("old")
+    new = incoming.withColumn("_there", F.lit(True))
+    known = _touched(existing.select(*key), incoming, key)
+    added = new.join(known, list(key), "left_anti")
     keys = [F.coalesce(F.col(f"old.{k}"), F.col(f"new.{k}")).alias(k) for k in key]
-    return old.join(new, same_key, "full_outer").select(
-        *keys, *[expression.alias(name) for name, expression in columns.items()]
-    )
+    outputs = [*keys, *[expression.alias(name) for name, expression in columns.items()]]
+    stored = old.join(new.alias("new"), _same_key(key), "left").select(*outputs)
+    inserted = added.alias("new").join(nothing, _same_key(key), "left").select(*outputs)
+    return stored.unionByName(inserted)
 
 
 def _newest(name: str) -> Column:
@@ -156,15 +175,15 @@ def classify_changes(
     Unchanged rows are dropped; audit columns never count as a change.
     """
     compared = [c for c in columns if c not in ignored]
-    old = existing.select(*key, *compared).withColumn("_there", F.lit(True)).alias("old")
+    stored = _touched(existing.select(*key, *compared), incoming, key)
+    old = stored.withColumn("_there", F.lit(True)).alias("old")
     new = incoming.select(*key, *compared).alias("new")
-    same_key = reduce(lambda a, b: a & b, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in key])
     differing = F.array(
         *[F.when(~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")), F.lit(c)) for c in compared]
     )
     changed = F.when(F.col("old._there"), F.filter(differing, lambda c: c.isNotNull()))
     return (
-        new.join(old, same_key, "left")
+        new.join(old, _same_key(key), "left")
         .select(
             *[F.col(f"new.{k}").alias(k) for k in key],
             F.when(F.col("old._there"), "update").otherwise("insert").alias("action"),

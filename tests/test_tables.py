@@ -55,6 +55,16 @@ def test_section_upsert(spark):
     assert sorted(map(repr, again.collect())) == sorted(map(repr, merged.collect()))
 
 
+def test_small_batch_does_not_shuffle_the_stored_table(spark, tmp_path):
+    stored, batch = str(tmp_path / "stored"), str(tmp_path / "batch")
+    sections(spark, [(f"u{i}", "m", "S", "text", None, "en", None) for i in range(100)]).write.parquet(stored)
+    sections(spark, [("u1", "m", "S", "new", None, "en", None), ("x", "m", "S", "new", None, "en", None)]).write.parquet(batch)
+    merged = I.section_upsert(spark.read.parquet(stored), spark.read.parquet(batch), now())
+    plan_text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan_text and "hashpartitioning" not in plan_text
+    assert merged.count() == 101 and merged.filter("text_content = 'new'").count() == 2
+
+
 def test_country_upsert(spark):
     old = spark.createDataFrame([("m", "Mexiko", "u", "es", None, None)], COUNTRIES)
     new = spark.createDataFrame([("m", "Mexico", "u2", None, None, None), ("p", "Peru", "u3", None, None, None)], COUNTRIES)
