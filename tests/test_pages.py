@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from evidenza.operators import pages as P
 
 PAGE = """
-<!DOCTYPE html><html><head><title>Mexico | Tracker</title>
+<!DOCTYPE html><html><head><title>Mexico | Site</title>
 <script>var t = "<p>not text</p><a href='/countries/fake/'>x</a>";</script></head>
 <body><h1><img src="x.png"></h1>
 <ul class="nav nav-pills"><li><a href="/countries/mexico/sources/"> Sources </a></li>
