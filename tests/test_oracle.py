@@ -5,10 +5,10 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from evidenza.plans.catalog import ORACLES, QUERIES
 from tests.oracle import connect, difference
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
