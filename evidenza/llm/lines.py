@@ -180,7 +180,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     edges = verdicts.where(F.col("state") == EDGE).groupBy("h1", "h2").agg(
         F.sum("n_docs").alias("docs"), F.max("doc_id").alias("top")
     )
-    late = verdicts.where(F.col("state") == OPEN).drop("n_docs").join(edges, ["h1", "h2"])
+    # two rows per partition bound the table; a hot line's open rows then stay where they are
+    late = verdicts.where(F.col("state") == OPEN).drop("n_docs").join(F.broadcast(edges), ["h1", "h2"])
     late = late.where((F.col("docs") >= min_docs) & ~F.col("doc_id").eqNullSafe(F.col("top")))
     columns = ["doc_id", "text_key", "n_lines", "positions"]
     dropped = verdicts.where(F.col("state") == DROPPED).select(*columns).union(late.select(*columns))
