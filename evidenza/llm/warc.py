@@ -273,11 +273,12 @@ def round_trip(pages: DataFrame) -> DataFrame:
         records.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"))
         .agg(F.max("length").alias("full"), F.max("digest").alias("full_digest"))
     )
-    own = F.col("record_type") == "response"
-    return records.join(responses, "refers_to", "left").select(
-        "page_id",
-        F.when(own, F.col("length")).otherwise(F.col("full")).alias("payload_bytes"),
-        F.when(own, F.col("digest")).otherwise(F.col("full_digest")).alias("payload_digest"),
-        "record_type",
-        "refers_to",
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    # responses refer to nothing and stay out of the join
+    own = records.where("record_type = 'response'").withColumnsRenamed(
+        {"length": "payload_bytes", "digest": "payload_digest"}
     )
+    again = records.where("record_type = 'revisit'").join(responses, "refers_to", "left").withColumnsRenamed(
+        {"full": "payload_bytes", "full_digest": "payload_digest"}
+    )
+    return own.select(*columns).union(again.select(*columns))
