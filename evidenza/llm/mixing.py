@@ -155,7 +155,7 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def mixed_pieces(docs: DataFrame) -> DataFrame:
     """The mix itself: ``(shard, position, source, block, doc_id, from_word, words)``."""
     rows, _, slots = mix(docs)
-    slots = slots.toDF("s", "b", "shard", "position")
+    slots = slots.toDF("s", "b", "shard", "position").hint("merge")
     met = pieces(rows).join(slots, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
     return met.select("shard", "position", "source", "block", "doc_id", "from_word", "words")
 
@@ -164,7 +164,8 @@ def mixed_words(docs: DataFrame) -> DataFrame:
     """A row per document: size, source_size, target, taken, first output shard."""
     rows, goals, slots = mix(docs)
     uses = slots.groupBy("source", "block").agg(F.count("*").alias("uses"), F.min("shard").alias("shard"))
-    uses = uses.toDF("s", "b", "uses", "shard")
+    # sizes are estimated from the few rows of the plan, so a broadcast must be ruled out
+    uses = uses.toDF("s", "b", "uses", "shard").hint("merge")
     met = pieces(rows).join(uses, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left")
     # a source has one document with words at each offset
     taken = met.groupBy("source", "start", "doc_id", "size").agg(
