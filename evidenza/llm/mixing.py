@@ -118,9 +118,11 @@ def quotas(goals: DataFrame) -> DataFrame:
 
 def deal(plan: DataFrame) -> DataFrame:
     """``(source, block, shard, position)``: one row per slot of the output."""
+    # few short rows that expand to many: a fixed number of partitions, or they would be merged into one
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = plan.where("slots > 0").select(
         "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("slots") - 1) / RANGE_SLOTS))).alias("r")
-    ).repartition("source", "r")
+    ).repartition(tasks, "source", "r")
     low = F.col("r") * RANGE_SLOTS
     slots = ranges.select(
         "source", "blocks", "first", "deck",
