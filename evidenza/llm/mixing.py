@@ -34,7 +34,7 @@ SHARD_SLOTS = 1024
 SEED = 7
 ROUNDS = 24
 #: Documents laid out by one window; a source may have any number of such groups.
-GROUP_DOCS = 20_000
+GROUP_DOCS = 5_000
 #: Slots that one row of the plan expands to.
 RANGE_SLOTS = 8192
 
