@@ -140,8 +140,10 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # the first piece of a file has its version line, the others lost it to the separator
             skip = len(VERSION) if at == 0 and block == 0 else 0
             end = value.find(END.encode(), max(0, skip - 2))
-            header = value[skip : max(end, 0)] + b"\r\n"
-            length = _field(header, b"Content-Length") if end >= 0 and value[:skip] == VERSION.encode()[:skip] else None
+            # a payload that begins with the version line makes the blank line part of the separator
+            end = end if end >= 0 else size
+            header = value[skip:end] + b"\r\n"
+            length = _field(header, b"Content-Length") if value[:skip] == VERSION.encode()[:skip] else None
             length = int(length) if length and length.isdecimal() else None
             start = end + len(END)
             digest = None
