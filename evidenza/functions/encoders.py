@@ -8,11 +8,11 @@ shipped with the job.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,35 +22,37 @@ ENCODER_BATCH = 32
 class HashingEncoder:
     """Term counts in ``dim`` md5 buckets, unit length; needs no model files."""
 
-    word = re.compile("[a-z]+")
-    cache_limit = 1_000_000
-
     def __init__(self, dim: int = 64, normalize: bool = True):
         self.dim = dim
         self.normalize = normalize
-        self._bucket: dict[str, int] = {}
 
     def bucket(self, token: str) -> int:
-        found = self._bucket.get(token)
-        if found is None:
-            if len(self._bucket) >= self.cache_limit:
-                self._bucket.clear()
-            found = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % self.dim
-            self._bucket[token] = found
-        return found
+        return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % self.dim
 
     def encode_batch(self, texts: list[str]) -> np.ndarray:
-        counts = np.zeros((len(texts), self.dim))
-        for row, text in enumerate(texts):
-            buckets = [self.bucket(t) for t in self.word.findall(text.lower())]
-            counts[row] = np.bincount(buckets, minlength=self.dim) if buckets else 0
+        """Splits and counts in Arrow and numpy; only distinct tokens are hashed one by one."""
+        pieces = pc.split_pattern_regex(pc.utf8_lower(pa.array(texts, pa.string())), "[^a-z]+")
+        tokens = pc.list_flatten(pieces).dictionary_encode()
+        row = pc.list_parent_indices(pieces).to_numpy().astype(np.int64)
+        buckets = np.array([self.bucket(t) if t else -1 for t in tokens.dictionary.to_pylist()], np.int64)
+        at = buckets[tokens.indices.to_numpy()] if len(buckets) else np.empty(0, np.int64)
+        real = at >= 0  # the ends of a text split off empty pieces
+        cells = np.bincount(row[real] * self.dim + at[real], minlength=len(texts) * self.dim)
+        counts = cells.reshape(len(texts), self.dim).astype(np.float64)
         if self.normalize:
             counts /= np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-12)
         return counts
 
 
 def encode_rows(encoder, texts: list[str | None], batch_size: int = ENCODER_BATCH) -> list:
-    """One vector or None per text; a text that fails costs only its own row."""
+    """One vector or None per text; a text that fails costs only its own row.
+
+    An encoder that declares ``max_chars`` gets a longer text in windows of that
+    many characters, all of which are encoded; the vector is their mean by length.
+    """
+    limit = getattr(encoder, "max_chars", None)
+    if limit and any(t is not None and len(t) > limit for t in texts):
+        return _encode_windows(encoder, texts, batch_size, limit)
     vectors: list = [None] * len(texts)
     present = [i for i, t in enumerate(texts) if t is not None]
     for start in range(0, len(present), batch_size):
@@ -68,6 +70,27 @@ def encode_rows(encoder, texts: list[str | None], batch_size: int = ENCODER_BATC
     return vectors
 
 
+def _encode_windows(encoder, texts: list[str | None], batch_size: int, limit: int) -> list:
+    windows, owner = [], []
+    for i, text in enumerate(texts):
+        if text is not None:
+            parts = [text[a : a + limit] for a in range(0, max(len(text), 1), limit)]
+            windows += parts
+            owner += [i] * len(parts)
+    sums: list = [None] * len(texts)
+    failed = set()
+    for i, part, vector in zip(owner, windows, encode_rows(encoder, windows, batch_size), strict=True):
+        if vector is None:
+            failed.add(i)
+        else:
+            weighed = np.asarray(vector, np.float64) * max(len(part), 1)
+            sums[i] = weighed if sums[i] is None else sums[i] + weighed
+    return [
+        None if total is None or i in failed else total / max(len(texts[i]), 1)
+        for i, total in enumerate(sums)
+    ]
+
+
 def encode_column(
     text: Column,
     encoder_factory: Callable[[], object] = HashingEncoder,

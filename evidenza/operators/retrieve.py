@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +15,14 @@ from evidenza.functions.encoders import encode_rows
 from evidenza.functions.sentences import chunks, sentences
 from evidenza.functions.text import fixed
 
-# The questions are shipped to every task, so their number is checked first;
-# beyond this many they are scored in blocks of this size.
+# The questions are shipped to every task, so their size is checked; a batch of
+# candidates is scored against this many of them at a time.
+MAX_QUESTION_BYTES = 64 << 20
 QUESTION_BLOCK = 512
 
+# Rows of one record batch that leaves a scoring task; each carries its text.
+ROWS_OUT = 1024
+
 # Scores closer than this many decimals are ties, which the first chunk wins.
 SCORE_DECIMALS = 9
 
@@ -66,16 +68,16 @@ def chunk_lineage(
 # --- scoring ----------------------------------------------------------------
 
 
-def _question_blocks(questions: DataFrame, size: int) -> Iterator[list[Row]]:
-    """Questions in blocks of about ``size`` rows; usually all of them in one block."""
-    rows = questions.limit(size + 1).collect()
-    if len(rows) <= size:
-        yield rows
-        return
-    blocks = math.ceil(questions.count() / size)
-    block = F.pmod(F.xxhash64("question_id"), F.lit(blocks))
-    for b in range(blocks):
-        yield questions.filter(block == b).collect()
+def _shipped_questions(questions: DataFrame, max_bytes: int) -> tuple[list, np.ndarray]:
+    """Ids and unit vectors of the questions, refused beyond ``max_bytes``."""
+    ids, vectors, size = [], [], 0
+    for row in questions.filter(F.col("embedding").isNotNull()).toLocalIterator():
+        size += 8 * len(row.embedding) + 64
+        if size > max_bytes:
+            raise ValueError(f"the questions take more than {max_bytes} bytes in every task; score them in parts")
+        ids.append(row.question_id)
+        vectors.append(row.embedding)
+    return ids, _unit_rows(np.array(vectors, dtype=np.float64)) if vectors else np.zeros((0, 0))
 
 
 def best_evidence(
@@ -89,6 +91,7 @@ def best_evidence(
     encoder_factory: Callable[[], object] | None = None,
     k: int = 1,
     question_block: int = QUESTION_BLOCK,
+    max_question_bytes: int = MAX_QUESTION_BYTES,
 ) -> DataFrame:
     """The ``k`` most similar candidates of every (group, question).
 
@@ -99,8 +102,9 @@ def best_evidence(
     Each Arrow batch is scored with one matrix product and only its own winners
     leave the task: candidate-question pairs are never rows, and a group that
     holds most of the candidates is reduced in parallel before the shuffle.
-    Ties go to the lowest ``order``.  Question sets beyond ``question_block``
-    rows are scored in several passes, each with a block of bounded size.
+    Ties go to the lowest ``order``.  Every candidate is encoded once, however
+    many questions there are: a batch is scored against ``question_block`` of them
+    at a time, and its winners leave the task block by block.
     """
     source = text if encoder_factory else vector
     kept_columns = list(dict.fromkeys([group, *order, *carry]))
@@ -117,24 +121,15 @@ def best_evidence(
         F.col("score").desc(), *[F.col(c) for c in order]
     )
     spark = candidates.sparkSession
-    winners = []
-    for block in _question_blocks(questions.select("question_id", "embedding"), question_block):
-        rows = [r for r in block if r.embedding is not None]
-        if not rows:
-            continue
-        ids = [r.question_id for r in rows]
-        matrix = np.array([r.embedding for r in rows], dtype=np.float64)
-        shipped = spark.sparkContext.broadcast((ids, _unit_rows(matrix)))
-        scorer = _batch_scorer(
-            shipped, group, list(order), kept_columns, encoder_factory, k, out_schema
-        )
-        scored = inputs.mapInArrow(scorer, out_schema)
-        winners.append(
-            scored.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= k)
-        )
-    if not winners:
-        return spark.createDataFrame([], out_schema.add("rank", "int"))
-    return reduce(DataFrame.unionByName, winners).withColumnRenamed("_rn", "rank")
+    shipped = spark.sparkContext.broadcast(
+        _shipped_questions(questions.select("question_id", "embedding"), max_question_bytes)
+    )
+    scorer = _batch_scorer(
+        shipped, group, list(order), kept_columns, encoder_factory, k, out_schema, question_block
+    )
+    scored = inputs.mapInArrow(scorer, out_schema)
+    winners = scored.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= k)
+    return winners.withColumnRenamed("_rn", "rank")
 
 
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
@@ -142,7 +137,7 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _batch_scorer(shipped, group, order, kept_columns, encoder_factory, k, out_schema):
+def _batch_scorer(shipped, group, order, kept_columns, encoder_factory, k, out_schema, block):
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow_schema = to_arrow_schema(out_schema)
@@ -185,17 +180,22 @@ def _batch_scorer(shipped, group, order, kept_columns, encoder_factory, k, out_s
         ids, matrix = shipped.value
         encoder = encoder_factory() if encoder_factory else None
         for batch in batches:
-            if batch.num_rows == 0:
+            if batch.num_rows == 0 or not ids:
                 continue
             rows, vectors = vectors_of(batch.column("_source"), encoder)
             if len(rows) == 0:
                 continue
-            scores = np.round(_unit_rows(vectors) @ matrix.T, SCORE_DECIMALS) + 0.0
-            taken, asked, values = best_rows(batch, rows, scores)
-            picked = batch.select(kept_columns).take(pa.array(taken))
-            columns = [*picked.columns, pa.array(ids).take(pa.array(asked)), pa.array(values)]
-            columns = [c.cast(f.type) for c, f in zip(columns, arrow_schema, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
+            units = _unit_rows(vectors)
+            for start in range(0, len(ids), block):
+                scores = np.round(units @ matrix[start : start + block].T, SCORE_DECIMALS) + 0.0
+                taken, asked, values = best_rows(batch, rows, scores)
+                for a in range(0, len(taken), ROWS_OUT):
+                    part = slice(a, a + ROWS_OUT)
+                    picked = batch.select(kept_columns).take(pa.array(taken[part]))
+                    names = pa.array(ids).take(pa.array(asked[part] + start))
+                    columns = [*picked.columns, names, pa.array(values[part])]
+                    columns = [c.cast(f.type) for c, f in zip(columns, arrow_schema, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
     return score
 

@@ -88,7 +88,7 @@ predictions AS (
 def _predictions(t: Tables):
     """Every document as the answer to all five questions."""
     length = F.col("n_chars").cast("double")
-    documents = t.wide("documents", "doc_id", "text", "lang", "n_chars").select(
+    documents = t.documents.select("doc_id", "text", "lang", "n_chars").select(
         F.col("doc_id").alias("country"),
         F.col("text").alias("answer_text"),
         F.when(F.col("lang") != "de", length / (length + 300.0)).alias("confidence"),
@@ -170,7 +170,7 @@ def label_attach(t: Tables):
 )
 def extract_years(t: Tables):
     years = C.extract_years(F.col("text"), YEARS, {})
-    return t.wide("documents", "doc_id", "text").select("doc_id", F.array_join(years, ",").alias("years"))
+    return t.documents.select("doc_id", "text").select("doc_id", F.array_join(years, ",").alias("years"))
 
 
 @query(
@@ -179,13 +179,13 @@ def extract_years(t: Tables):
 )
 def extract_terms(t: Tables):
     terms = C.extract_terms(F.col("text"), TERMS)
-    return t.wide("documents", "doc_id", "text").select("doc_id", F.array_join(terms, ",").alias("terms"))
+    return t.documents.select("doc_id", "text").select("doc_id", F.array_join(terms, ",").alias("terms"))
 
 
 @query("flag_terms", f"WITH {TAGGED} SELECT doc_id, article, licence, number, mail FROM tagged")
 def flag_terms(t: Tables):
     flags = C.flag_terms(F.col("text"), FLAGS, IGNORED)
-    return t.wide("documents", "doc_id", "text").select("doc_id", *[c.alias(n) for n, c in flags.items()])
+    return t.documents.select("doc_id", "text").select("doc_id", *[c.alias(n) for n, c in flags.items()])
 
 
 @query("quote_prefix", "SELECT doc_id, left(text, 300) AS quote FROM documents")

@@ -10,8 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidenza.session import fan_out
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -33,10 +31,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def wide(self, name: str, *columns: str) -> DataFrame:
-        """Columns of a table, spread over the cores if the file is small."""
-        return fan_out(getattr(self, name).select(*columns))
-
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[Tables], DataFrame]):

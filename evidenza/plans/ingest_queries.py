@@ -78,7 +78,7 @@ def _structured_json(t: Tables):
         .otherwise(F.to_json(good))
     )
     cut = F.when(F.col("lang") == "es", F.left(value, F.length(value) - 1)).otherwise(value)
-    documents = t.wide("documents", "doc_id", "text", "lang", "source")
+    documents = t.documents.select("doc_id", "text", "lang", "source")
     return documents.select(F.col("doc_id").alias("country"), cut.alias("value"))
 
 
@@ -133,7 +133,7 @@ def unstructured_json(t: Tables):
     content = F.concat(F.array(F.lit("# Summary")), F.split("text", "\n"), F.array(F.lit("\n---\n")))
     minutes = F.make_interval(mins=F.col("doc_id").cast("int"))
     scraped = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + minutes
-    rows = t.wide("documents", "doc_id", "text", "source").select(
+    rows = t.documents.select("doc_id", "text", "source").select(
         F.col("doc_id").alias("country"),
         F.to_json(
             F.struct(
@@ -187,7 +187,7 @@ def combined_text(t: Tables):
         F.lit("Summary"), F.struct(body.alias("content")),
         F.lit("Sources"), F.struct(F.array("source").alias("content")),
     )
-    return t.wide("documents", "doc_id", "text", "lang", "source").select(
+    return t.documents.select("doc_id", "text", "lang", "source").select(
         "doc_id", F.md5(I.combined_text(sections)).alias("combined_md5")
     )
 

@@ -22,7 +22,7 @@ WHERE contains(a, '/') AND length(a) - length(replace(a, '/', '')) = 1
 """,
 )
 def page_links(t: Tables):
-    return P.page_links(t.wide("pages", "page_id", "url", "html"), part="/", slashes=1)
+    return P.page_links(t.pages.select("page_id", "url", "html"), part="/", slashes=1)
 
 
 @query("page_slug", "SELECT page_id, trim(split_part(url, '/en/', -1), '/') AS slug FROM pages")
@@ -41,7 +41,7 @@ SELECT page_id, replace(replace(coalesce(h1, title), '&quot;', '"'), '&amp;', '&
 """,
 )
 def page_title(t: Tables):
-    return t.wide("pages", "page_id", "html").select(
+    return t.pages.select("page_id", "html").select(
         "page_id", P.page_name(F.col("html")).alias("page_name")
     )
 
@@ -65,7 +65,7 @@ blocks AS (
 
 
 def _blocks(t: Tables):
-    return P.page_blocks(t.wide("pages", "page_id", "html"), {"article": ("p", "li", "h3")})
+    return P.page_blocks(t.pages.select("page_id", "html"), {"article": ("p", "li", "h3")})
 
 
 @query("page_blocks", BLOCKS + "SELECT page_id, pos, tag, block_text FROM blocks")
@@ -99,7 +99,7 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY place, pos
 )
 def section_order(t: Tables):
     links = P.section_links(
-        t.wide("pages", "page_id", "url", "html"),
+        t.pages.select("page_id", "url", "html"),
         nav_pattern=r"(?is)<nav>(.*?)</nav>",
         order=("The", "of", "and", "to"),
         skip=("The",),

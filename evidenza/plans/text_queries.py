@@ -1,5 +1,6 @@
 """Checked queries: vectors, word tokens, sentences, chunks and retrieval."""
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from evidenza.functions.encoders import HashingEncoder, encode_column
@@ -9,7 +10,6 @@ from evidenza.operators import embed as E
 from evidenza.operators import retrieve as R
 from evidenza.operators.ingest import country_name, valid_sections
 from evidenza.plans.catalog import Tables, query
-from evidenza.session import materialize
 
 DIM = 64
 
@@ -61,7 +61,7 @@ WHERE trim(chunk, {WS}) <> ''
 
 def _sections(t: Tables):
     vectors = t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding")
-    documents = t.wide("documents", "doc_id", "source", "text")
+    documents = t.documents.select("doc_id", "source", "text")
     return documents.join(vectors, "doc_id", "left").select(
         F.col("doc_id").alias("section_url"),
         F.col("source").alias("country_doc_id"),
@@ -85,7 +85,7 @@ def pending_embeddings(t: Tables):
 @query(
     "embedding_gate",
     f"""
-WITH g AS (SELECT doc_id, substr(trim(text, {WS}), 1, 30000) AS s FROM documents)
+WITH g AS (SELECT doc_id, trim(text, {WS}) AS s FROM documents)
 SELECT doc_id, CAST(length(s) < 20 AS INTEGER) AS is_zero,
        CASE WHEN length(s) >= 20 THEN length(s) END AS n_chars,
        CASE WHEN length(s) >= 20 THEN md5(s) END AS text_md5 FROM g
@@ -110,7 +110,7 @@ SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, n, round(n / norm, 6) AS weigh
 """,
 )
 def hash_embedding(t: Tables):
-    counted = t.wide("documents", "doc_id", "text").select(
+    counted = t.documents.select("doc_id", "text").select(
         "doc_id", encode_column(F.col("text"), CountEncoder).alias("counts")
     )
     both = counted.withColumn("unit", l2_normalize(F.col("counts")))
@@ -150,7 +150,7 @@ FROM conversations c LEFT JOIN (SELECT conv_id, turn, CAST(sum(n) AS BIGINT) AS
 )
 def content_embedding(t: Tables):
     content = F.when(F.col("role") == "assistant", F.col("text")).when(F.col("role") == "user", F.lit(""))
-    items = t.wide("conversations", "conv_id", "turn", "role", "text").select(
+    items = t.conversations.select("conv_id", "turn", "role", "text").select(
         "conv_id", "turn", content.alias("content")
     )
     now = F.lit("2024-06-01 12:00:00").cast("timestamp")
@@ -276,7 +276,7 @@ words AS (
     WORD_LISTS + "SELECT doc_id, len(ws) AS n_words, md5(array_to_string(ws, ' ')) AS words_md5 FROM words",
 )
 def word_tokens(t: Tables):
-    tokens = t.wide("documents", "doc_id", "text").select("doc_id", E.word_tokens(F.col("text")).alias("ws"))
+    tokens = t.documents.select("doc_id", "text").select("doc_id", E.word_tokens(F.col("text")).alias("ws"))
     return tokens.select(
         "doc_id", F.size("ws").cast("bigint").alias("n_words"), F.md5(F.array_join("ws", " ")).alias("words_md5")
     )
@@ -294,16 +294,39 @@ FROM documents d LEFT JOIN counts c ON c.doc_id = d.doc_id
 """,
 )
 def word2vec_docs(t: Tables):
-    tokens = t.wide("documents", "doc_id", "text").select("doc_id", E.word_tokens(F.col("text")).alias("tokens"))
-    # read by the vocabulary pass, the training pass and the transform
-    tokens = materialize(tokens, "word-tokens")
+    tokens = t.documents.select("doc_id", "text").select("doc_id", E.word_tokens(F.col("text")).alias("tokens"))
     model = E.fit_word_vectors(tokens, vector_size=32)
-    vectors = E.word_vector_documents(tokens, model, ["doc_id"])
+    vectors = E.word_vector_documents(tokens, model.getVectors(), ["doc_id"])
     return vectors.select(
         "doc_id", F.col("n_words").cast("bigint").alias("n_words"), F.size("document_vector").alias("dim")
     )
 
 
+@query(
+    "word_vector_means",
+    WORD_LISTS
+    + """,
+tokens AS (SELECT doc_id, unnest(ws) AS word FROM words),
+vocabulary AS (SELECT word FROM tokens GROUP BY word HAVING count(*) >= 5),
+entries AS (
+  SELECT doc_id, dim, CAST('0x' || substr(md5(word), 2 * dim + 1, 2) AS INTEGER) - 128 AS x
+  FROM tokens SEMI JOIN vocabulary USING (word), (SELECT unnest(range(8)) AS dim))
+SELECT doc_id, CAST(dim AS INTEGER) AS dim, count(*) AS n_words, CAST(sum(x) AS BIGINT) AS total
+FROM entries GROUP BY doc_id, dim
+""",
+)
+def word_vector_means(t: Tables):
+    """Averaging checked value by value, over word vectors that both engines can make."""
+    tokens = t.documents.select("doc_id", E.word_tokens(F.col("text")).alias("tokens"))
+    counted = tokens.select(F.explode("tokens").alias("word")).groupBy("word").count().where("count >= 5")
+    cells = [F.conv(F.substring(F.md5("word"), 2 * d + 1, 2), 16, 10).cast("double") - 128 for d in range(8)]
+    vectors = counted.select("word", array_to_vector(F.array(*cells)).alias("vector"))
+    means = E.word_vector_documents(tokens, vectors, ["doc_id"]).where("n_words > 0")
+    return means.select("doc_id", "n_words", F.posexplode("document_vector").alias("dim", "v")).select(
+        "doc_id", "dim", "n_words", F.round(F.col("v") * F.col("n_words")).cast("bigint").alias("total")
+    )
+
+
 # --- sentences and chunks ---------------------------------------------------
 
 
@@ -315,13 +338,13 @@ SELECT doc_id, CAST(generate_subscripts(ss, 1) - 1 AS INTEGER) AS sentence_no, u
 """,
 )
 def sentence_rows(t: Tables):
-    documents = t.wide("documents", "doc_id", "text")
+    documents = t.documents.select("doc_id", "text")
     return documents.select("doc_id", F.posexplode(sentences(F.col("text"))).alias("sentence_no", "sentence"))
 
 
 @query("sentence_chunks", chunks_sql("documents", "doc_id", "text"))
 def sentence_chunks(t: Tables):
-    return R.chunk_rows(t.wide("documents", "doc_id", "text"), ["doc_id"], text="text")
+    return R.chunk_rows(t.documents.select("doc_id", "text"), ["doc_id"], text="text")
 
 
 @query(
@@ -338,7 +361,7 @@ def chunk_lineage(t: Tables):
     countries = t.documents.select(F.col("source").alias("doc_id")).distinct()
     countries = countries.withColumn("country_url", F.concat(F.lit("https://example.org/"), "doc_id"))
     url = F.concat_ws("/", F.lit("https://example.org"), "source", "doc_id")
-    sections = t.wide("documents", "doc_id", "text", "lang", "source").select(
+    sections = t.documents.select("doc_id", "text", "lang", "source").select(
         F.col("source").alias("country_doc_id"),
         "doc_id",
         F.when(F.col("lang") != "fr", url).alias("section_url"),
@@ -383,7 +406,7 @@ def _benchmark_questions(t: Tables):
 
 def _document_evidence(t: Tables, k: int = 1):
     chunked = R.chunk_rows(
-        t.wide("documents", "doc_id", "source", "text"), ["source", "doc_id"], text="text"
+        t.documents.select("doc_id", "source", "text"), ["source", "doc_id"], text="text"
     ).withColumnRenamed("source", "country")
     return R.best_evidence(
         chunked,
@@ -505,7 +528,7 @@ SELECT doc_id AS country, length(report) AS n_chars, md5(report) AS report_md5 F
 """,
 )
 def report_fallback(t: Tables):
-    documents = t.wide("documents", "doc_id", "text")
+    documents = t.documents.select("doc_id", "text")
     sections = documents.select(
         F.col("doc_id").alias("country"),
         F.concat(F.lit("https://example.org/"), "doc_id").alias("section_url"),

@@ -1,12 +1,8 @@
-"""Session settings and the shared working folder."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,45 +34,3 @@ def build_session(
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting (tests) gets a folder of its
-    own; a cluster session without it is an error, since a machine-local folder
-    would be lost with its machine.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="evidenza-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
-
-    Cuts lineage in a way that survives losing executors, and keeps costly
-    columns (encoder output) from being computed by every consumer.
-    """
-    spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def fan_out(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the session has cores.
-
-    A table of many files already has enough splits and is returned as it is,
-    so large inputs pay no shuffle; one small file would otherwise keep all the
-    text work in a single task.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)

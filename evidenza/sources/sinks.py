@@ -85,11 +85,12 @@ def write_predictions(nested: DataFrame, path: str, country: str = "country") ->
 
 
 def write_low_confidence(counts: DataFrame, path: str) -> bool:
-    """CSV with a header, only if there is anything to report."""
-    if counts.isEmpty():
-        return False
+    """CSV with a header; true if there is anything to report.
+
+    The target is replaced in any case, so rows of an earlier run never stay.
+    """
     counts.write.mode("overwrite").option("header", True).csv(path)
-    return True
+    return not counts.sparkSession.read.option("header", True).csv(path).isEmpty()
 
 
 def write_ordered_text(

@@ -140,9 +140,10 @@ def test_lines_and_ordered_text(spark, tmp_path):
 def test_low_confidence_csv(spark, tmp_path):
     out = str(tmp_path / "low")
     counts = spark.createDataFrame([("Ukraine", 5)], "country string, low_confidence_count long")
-    assert sinks.write_low_confidence(counts.filter("false"), out) is False and not os.path.exists(out)
     assert sinks.write_low_confidence(counts, out) is True
     assert [tuple(r) for r in spark.read.option("header", True).csv(out).collect()] == [("Ukraine", "5")]
+    assert sinks.write_low_confidence(counts.filter("false"), out) is False
+    assert spark.read.option("header", True).csv(out).count() == 0
 
 
 def test_item_stream(spark, tmp_path):

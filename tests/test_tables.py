@@ -4,14 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evidenza.functions.encoders import HashingEncoder, encode_column
+from evidenza.functions.encoders import HashingEncoder, encode_column, encode_rows
 from evidenza.operators import embed as E
 from evidenza.operators import ingest as I
 from evidenza.operators import retrieve as R
 from evidenza.operators.boxes import KEY_ALIASES
 from evidenza.plans import evidence as plan
 from evidenza.schemas import COUNTRIES, SECTIONS
-from evidenza.session import fan_out, materialize, shared_folder
 
 NOW = "2024-06-01 12:00:00"
 
@@ -125,10 +124,10 @@ def test_embed_pending_isolates_failures(spark):
     assert {r.section_url for r in again.filter("outcome = 'embedded'").collect()} == {"bad", "other"}
 
 
-def test_gate_limit(spark):
+def test_gate_reads_whole_texts(spark):
     df = spark.createDataFrame([("x" * 40000,), ("  " + "y" * 20,), ("y" * 19,)], "t string")
     lengths = [r.n for r in df.select(F.length(E.embedding_gate(F.col("t"))).alias("n")).collect()]
-    assert lengths == [30000, 20, None]
+    assert lengths == [40000, 20, None]
 
 
 def test_masked_mean_pool(spark):
@@ -143,16 +142,10 @@ def test_word_vectors(spark, tmp_path):
     model = E.fit_word_vectors(tokens, vector_size=8, min_count=5, partitions=1)
     vectors = {r.word: np.array(r.vector) for r in model.getVectors().collect()}
     assert set(vectors) == set(words)
-    got = {r.id: r for r in E.word_vector_documents(tokens, model, ["id"]).collect()}
+    got = {r.id: r for r in E.word_vector_documents(tokens, model.getVectors(), ["id"]).collect()}
     expected = np.mean([vectors[w] for w in rows[0][1] if w in vectors], axis=0)
     assert got[0].n_words == 6 and np.allclose(got[0].document_vector, expected, atol=1e-6)
     assert got[99].document_vector is None
-    joined = {r.id: r for r in E.word_vector_documents(tokens, model, ["id"], broadcast_words=2).collect()}
-    assert {k: (r.n_words, r.document_vector) for k, r in joined.items()} == {
-        k: (r.n_words, r.document_vector) for k, r in got.items()
-    }
-    from pyspark.ml.feature import Word2VecModel
-
     path = E.save_word_vectors(model, str(tmp_path / "model"))
     E.save_word_vectors(model, path)
     assert Word2VecModel.load(path).getVectors().count() == 4
@@ -231,20 +224,37 @@ def test_end_to_end(spark):
     assert {r.country: r.report.count("### Question") for r in reports.collect()} == {"mexico": 5, "gabon": 0}
 
 
-# --- session ----------------------------------------------------------------
+class Limited:
+    """Length and number of vowels; takes ten characters at most."""
+
+    max_chars = 10
+
+    def encode_batch(self, texts):
+        assert all(len(t) <= 10 for t in texts)
+        return np.array([[len(t), sum(c in "aeiou" for c in t)] for t in texts], float)
+
+
+def test_long_texts_are_encoded_in_windows():
+    text = "abcde" * 5  # windows of 10, 10 and 5
+    (vector,) = encode_rows(Limited(), [text])
+    assert np.allclose(vector, [(100 + 100 + 25) / 25, (4 * 10 + 4 * 10 + 2 * 5) / 25])
+    assert encode_rows(Limited(), [None, "", text])[0] is None
 
 
-def test_materialize_uses_the_shared_folder(spark):
-    folder = shared_folder(spark)
-    assert folder == spark.conf.get("spark.checkpoint.dir")
-    copy = materialize(spark.range(10), "ten")
-    assert copy.count() == 10 and all(folder in f for f in copy.inputFiles())
+def test_candidates_are_encoded_once_for_any_number_of_questions(spark):
+    calls = spark.sparkContext.accumulator(0)
 
+    class Counted(HashingEncoder):
+        def encode_batch(self, texts):
+            calls.add(len(texts))
+            return super().encode_batch(texts)
 
-def test_fan_out_leaves_wide_scans_alone(spark):
-    wide = spark.range(10).repartition(9)
-    assert fan_out(wide) is wide
-    assert fan_out(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    rows = spark.createDataFrame([(f"c{i % 3}", i, f"some text {i}") for i in range(60)], "country string, chunk_idx int, t string")
+    questions = spark.createDataFrame([(q, HashingEncoder().encode_batch([f"text {q}"])[0].tolist()) for q in range(7)], "question_id int, embedding array<float>")
+    found = R.best_evidence(rows, questions, vector=None, text="t", encoder_factory=Counted, question_block=2).collect()
+    assert len(found) == 21 and calls.value == 60
+    with pytest.raises(ValueError, match="bytes"):
+        R.best_evidence(rows, questions, vector=None, text="t", encoder_factory=Counted, max_question_bytes=1000)
 
 
 def test_encoder_gives_null_for_null(spark):
