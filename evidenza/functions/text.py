@@ -95,6 +95,8 @@ def london_time(instant: Column) -> Column:
 def decode_entities(col: Column) -> Column:
     """Replace HTML character references: named ones and ``&#233;`` / ``&#xe9;``.
 
+    A number that is no character (0, a surrogate, too large) gives U+FFFD.
+
     ``&amp;`` goes last, so ``&amp;lt;`` ends as ``&lt;`` and not as ``<``.
     """
     table = {name: char for name, char in html5.items() if name.endswith(";")}
@@ -102,14 +104,20 @@ def decode_entities(col: Column) -> Column:
     names = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
     ampersand = F.lit(r"&(?:amp|#38|#[xX]26);")
 
+    # numbers of the old Windows page mean its characters, as browsers have it
+    windows = {b: bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+    moved = F.create_map(*[F.lit(x) for b, c in windows.items() if c for x in (b, ord(c))])
+
     def code_point(body: Column) -> Column:
         is_hex = body.rlike("^#[xX]")
-        digits = F.regexp_extract(body, "^#[xX]?([0-9a-fA-F]+);$", 1)
-        code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
-        wide = F.lpad(F.hex(code.cast("bigint")), 8, "0")
-        return F.when(
-            body.rlike("^#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});$"), F.decode(F.unhex(wide), "UTF-32")
-        )
+        digits = F.regexp_extract(body, "^#[xX]?0*([0-9a-fA-F]*);$", 1)
+        number = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
+        # longer numbers are beyond the last code point in any case
+        code = F.when(F.length(digits).between(1, 7), number.cast("bigint"))
+        real = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        chosen = F.when(real, F.coalesce(F.try_element_at(moved, code.cast("int")), code)).otherwise(0xFFFD)
+        wide = F.lpad(F.hex(chosen.cast("bigint")), 8, "0")
+        return F.when(body.rlike("^#([0-9]+|[xX][0-9a-fA-F]+);$"), F.decode(F.unhex(wide), "UTF-32"))
 
     def replace_one(text: Column, ref: Column) -> Column:
         body = F.substr(ref, F.lit(2))

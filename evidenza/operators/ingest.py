@@ -93,13 +93,23 @@ def _touched(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> Da
     return existing.join(incoming.select(*key), list(key), "left_semi")
 
 
+def newest_per_key(incoming: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """One row per key: the first by ``order`` (newest first), then by the row's own values."""
+    rest = [c for c, kind in incoming.dtypes if c not in key and not kind.startswith("map")]
+    return first_per_key(incoming, key, [*order, *rest])
+
+
 def upsert(
     existing: DataFrame,
     incoming: DataFrame,
     key: Sequence[str],
     columns: Mapping[str, Column],
+    order: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """Full snapshot after merging ``incoming`` (unique on ``key``) into ``existing``.
+    """Full snapshot after merging ``incoming`` into ``existing``.
+
+    Of incoming rows with the same key only the first by ``order`` counts, so
+    keys stay unique; pass an order that puts the newest version first.
 
     ``columns`` gives each output column as an expression over ``old.*`` and
     ``new.*``; ``old._there`` / ``new._there`` tell which sides hold the row.
@@ -107,6 +117,7 @@ def upsert(
     Stored rows are left-joined to the batch and new rows are added, in place of
     one full outer join, which would always shuffle the whole stored table.
     """
+    incoming = newest_per_key(incoming, key, order)
     old = existing.withColumn("_there", F.lit(True)).alias("old")
     nothing = existing.filter(F.lit(False)).withColumn("_there", F.lit(True)).alias("old")
     new = incoming.withColumn("_there", F.lit(True))
@@ -123,7 +134,9 @@ def _newest(name: str) -> Column:
     return F.when(F.col("new._there"), F.col(f"new.{name}")).otherwise(F.col(f"old.{name}"))
 
 
-def country_upsert(countries: DataFrame, incoming: DataFrame, now: Column) -> DataFrame:
+def country_upsert(
+    countries: DataFrame, incoming: DataFrame, now: Column, order: Sequence[str | Column] = ()
+) -> DataFrame:
     """Update name and url of known countries, stamp them, insert the others."""
     is_old, is_new = F.col("old._there"), F.col("new._there")
     language = F.coalesce(F.col("new.language"), F.lit(DEFAULT_LANGUAGE))
@@ -138,10 +151,13 @@ def country_upsert(countries: DataFrame, incoming: DataFrame, now: Column) -> Da
             "created_at": F.when(is_old, F.col("old.created_at")).otherwise(now),
             "last_scraped_at": F.when(is_new, now).otherwise(F.col("old.last_scraped_at")),
         },
+        order,
     )
 
 
-def section_upsert(sections: DataFrame, incoming: DataFrame, now: Column) -> DataFrame:
+def section_upsert(
+    sections: DataFrame, incoming: DataFrame, now: Column, order: Sequence[str | Column] = ()
+) -> DataFrame:
     """Merge sections by url; a changed text clears the stored vector."""
     is_old, is_new = F.col("old._there"), F.col("new._there")
     unchanged = is_new.isNull() | F.col("new.text_content").eqNullSafe(F.col("old.text_content"))
@@ -160,6 +176,7 @@ def section_upsert(sections: DataFrame, incoming: DataFrame, now: Column) -> Dat
             "language": F.when(is_new, language).otherwise(F.col("old.language")),
             "scraped_at": F.when(is_new, now).otherwise(F.col("old.scraped_at")),
         },
+        order,
     )
 
 
@@ -169,12 +186,14 @@ def classify_changes(
     key: Sequence[str],
     columns: Sequence[str],
     ignored: Sequence[str] = AUDIT_COLUMNS,
+    order: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """Incoming rows as ``insert`` or ``update`` with the changed column names.
+    """The newest incoming row of each key (see ``upsert``) as ``insert`` or ``update`` with the changed column names.
 
     Unchanged rows are dropped; audit columns never count as a change.
     """
     compared = [c for c in columns if c not in ignored]
+    incoming = newest_per_key(incoming, key, order)
     stored = _touched(existing.select(*key, *compared), incoming, key)
     old = stored.withColumn("_there", F.lit(True)).alias("old")
     new = incoming.select(*key, *compared).alias("new")

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,12 +36,20 @@ def visible_markup(html: Column) -> Column:
 # --- links and titles -------------------------------------------------------
 
 
+# An ``a`` tag up to its href: other attributes are passed over whole, quotes and all.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+_HREF = rf"""(?is)<a(?=[\s/])(?:[\s/]*+(?!href\s*=)[^\s=>"'/]++(?:\s*+=\s*+{_VALUE})?+)*+[\s/]*+href\s*=\s*({_VALUE})"""
+
+
 def link_targets(html: Column) -> Column:
-    """All ``href`` values of ``a`` elements, in page order."""
-    found = F.regexp_extract_all(
-        visible_markup(html), F.lit(r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"']*)["']"""), F.lit(1)
-    )
-    return F.transform(found, decode_entities)
+    """All ``href`` values of ``a`` elements, quoted either way or not, in page order."""
+    found = F.regexp_extract_all(visible_markup(html), F.lit(_HREF), F.lit(1))
+
+    def target(value: Column) -> Column:
+        quoted = F.left(value, F.lit(1)).isin('"', "'")
+        return decode_entities(F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value))
+
+    return F.transform(found, target)
 
 
 def page_links(
@@ -87,47 +96,98 @@ def page_name(html: Column) -> Column:
     return decode_entities(let(visible_markup(html), name))
 
 
+# Elements that never have an end tag.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+
+class _NavReader(HTMLParser):
+    """Links inside the navigations of a page: every element of the wanted tag and classes."""
+
+    def __init__(self, tag: str | None, classes: frozenset[str]):
+        super().__init__(convert_charrefs=True)
+        self.tag, self.classes = tag, classes
+        self.nav: str | None = None
+        self.depth = 0
+        self.links: list[dict] = []
+        self.inside = False
+
+    def handle_starttag(self, tag, attrs):
+        values = dict(attrs)
+        if self.nav is None:
+            wanted = self.tag in (None, tag) and self.classes <= set((values.get("class") or "").split())
+            if wanted and tag not in VOID:
+                self.nav, self.depth = tag, 1
+            return
+        self.depth += tag == self.nav
+        if tag == "a":
+            self.inside = values.get("href") is not None
+            if self.inside:
+                self.links.append({"href": values["href"], "title": ""})
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.inside = False
+        if tag == self.nav:
+            self.depth -= 1
+            if not self.depth:
+                self.nav, self.inside = None, False
+
+    def handle_data(self, data):
+        if self.inside:
+            self.links[-1]["title"] += data
+
+
+def navigation_links(html: Column, tag: str | None, classes: Sequence[str]) -> Column:
+    """``array<struct<href, title>>`` of all navigations of a page, in page order."""
+    wanted = frozenset(classes)
+    kind = pa.list_(pa.struct([("href", pa.string()), ("title", pa.string())]))
+
+    def read(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in pages:
+            found = []
+            for page in batch:
+                reader = _NavReader(tag, wanted)
+                if page.is_valid:
+                    reader.feed(page.as_py())
+                    reader.close()
+                found.append(reader.links)
+            yield pa.array(found, kind)
+
+    read.__annotations__ = {"pages": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(read, "array<struct<href: string, title: string>>")(html)
+
+
 def section_links(
     pages: DataFrame,
-    nav_pattern: str = r'(?is)<[a-z]+[^>]*class="[^"]*\bnav nav-pills\b[^"]*"[^>]*>(.*?)</(?:ul|nav)>',
+    nav_tag: str | None = None,
+    nav_classes: Sequence[str] = ("nav", "nav-pills"),
     order: Sequence[str] = SECTION_ORDER,
     skip: Sequence[str] = ("Summary",),
     key: Sequence[str] = ("page_id",),
     url: str = "url",
     html: str = "html",
 ) -> DataFrame:
-    """Section links of the page navigation, in reading order.
+    """Section links of the page navigations, in reading order.
 
-    Titles rank by their place in ``order`` (case-sensitive), unknown titles
-    follow in page order.  ``rank`` is the place within the page; ranking is
-    done inside the row.
+    A navigation is an element with all of ``nav_classes``, in any order, and of
+    ``nav_tag`` if that is given; it ends with its own end tag, however deep its
+    lists are.  Titles rank by their place in ``order`` (case-sensitive), unknown
+    titles follow in page order.  ``rank`` is the place within the page; ranking
+    is done inside the row.
     """
-    anchor = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>([^<]*)"""
-    found = pages.withColumn(
-        "_nav", F.regexp_extract(visible_markup(F.col(html)), nav_pattern, 1)
-    ).select(
-        *key,
-        url,
-        F.regexp_extract_all("_nav", F.lit(anchor), F.lit(1)).alias("_hrefs"),
-        F.regexp_extract_all("_nav", F.lit(anchor), F.lit(2)).alias("_titles"),
-    )
+    found = pages.select(*key, url, navigation_links(F.col(html), nav_tag, nav_classes).alias("_links"))
     known = F.array(*[F.lit(t) for t in order])
 
-    def entry(position: Column) -> Column:
-        title = strip(decode_entities(F.get("_titles", position)))
-        place = F.array_position(known, title)
+    def entry(link: Column, position: Column) -> Column:
+        place = F.array_position(known, strip(link["title"]))
         return F.struct(
             F.when(place > 0, place).otherwise(len(order) + 1).cast("int").alias("place"),
             position.cast("int").alias("position"),
-            title.alias("section_title"),
-            resolve_url(F.col(url), decode_entities(F.get("_hrefs", position))).alias("section_url"),
+            strip(link["title"]).alias("section_title"),
+            resolve_url(F.col(url), link["href"]).alias("section_url"),
         )
 
-    count = F.size("_hrefs")
-    entries = F.when(
-        count > 0, F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), entry)
-    )
-    kept = F.filter(F.array_sort(entries), lambda e: ~e["section_title"].isin(*skip))
+    kept = F.filter(F.array_sort(F.transform("_links", entry)), lambda e: ~e["section_title"].isin(*skip))
     return found.select(*key, F.posexplode(kept).alias("rank", "e")).select(
         *key, "rank", "e.section_title", "e.section_url"
     )

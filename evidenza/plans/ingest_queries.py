@@ -344,11 +344,15 @@ def _stored_sections(t: Tables):
 WITH existing AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS section_url, d.source, d.text, d.lang, e.vec_id IS NOT NULL AS has_vector
   FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id),
-incoming AS (
+batch AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS section_url, 'ignored' AS country_doc_id, 'Targets' AS title,
-         CASE WHEN l.toxic = 1 OR l.quality = 0 THEN d.text || '!' ELSE d.text END AS text
+         CASE WHEN l.toxic = 1 OR l.quality = 0 THEN d.text || '!' ELSE d.text END AS text, 2 AS version
   FROM documents d JOIN labels l USING (doc_id)
-  UNION ALL SELECT 'b' || item_id, 'bench', 'Sources', text FROM benchmark)
+  UNION ALL SELECT 'b' || item_id, 'bench', 'Sources', text, 2 FROM benchmark
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'older', 'Older', 'older ' || toxic, 1 FROM labels
+  UNION ALL SELECT 'b' || item_id, 'older', 'Older', text, 1 FROM benchmark),
+incoming AS (
+  SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY section_url ORDER BY version DESC) = 1)
 SELECT coalesce(e.section_url, i.section_url) AS section_url, coalesce(e.source, i.country_doc_id) AS country_doc_id,
        coalesce(i.title, 'Summary') AS section_title, md5(coalesce(i.text, e.text)) AS text_md5,
        CAST(coalesce(e.has_vector AND (i.text IS NULL OR i.text = e.text), FALSE) AS INTEGER) AS has_vector,
@@ -373,7 +377,13 @@ def section_upsert(t: Tables):
         F.col("text").alias("text_content"),
         F.lit(None).cast("string").alias("language"),
     )
-    merged = I.section_upsert(_stored_sections(t), crawled.unionByName(added), _now())
+    fresh = crawled.unionByName(added).withColumn("version", F.lit(2))
+    stale = fresh.withColumns({
+        "country_doc_id": F.lit("older"), "section_title": F.lit("Older"), "version": F.lit(1),
+        "text_content": F.concat(F.lit("older "), F.length("text_content")),
+    })
+    # every url comes twice; the newest version counts
+    merged = I.section_upsert(_stored_sections(t), stale.union(fresh), _now(), [F.col("version").desc()])
     return merged.select(
         "section_url",
         "country_doc_id",
@@ -388,10 +398,13 @@ def section_upsert(t: Tables):
 @query(
     "change_classify",
     """
-WITH incoming AS (
+WITH batch AS (
   SELECT d.doc_id, CASE WHEN l.quality = 0 THEN upper(d.lang) ELSE d.lang END AS lang, d.n_chars + l.toxic AS n_chars,
-         d.source FROM documents d JOIN labels l USING (doc_id)
-  UNION ALL SELECT -1 - item_id, 'en', length(text), CAST(NULL AS VARCHAR) FROM benchmark),
+         d.source, 1 AS version FROM documents d JOIN labels l USING (doc_id)
+  UNION ALL SELECT -1 - item_id, 'en', length(text), CAST(NULL AS VARCHAR), 1 FROM benchmark
+  UNION ALL SELECT doc_id, 'xx', -1, 'older', 0 FROM labels),
+incoming AS (
+  SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY version DESC) = 1),
 compared AS (
   SELECT i.doc_id, CASE WHEN d.doc_id IS NULL THEN 'insert' ELSE 'update' END AS action,
          CASE WHEN d.doc_id IS NOT NULL THEN array_to_string(list_filter([
@@ -419,7 +432,12 @@ def change_classify(t: Tables):
         F.lit(1).alias("scraped_at"),
     )
     columns = ["lang", "n_chars", "source", "scraped_at"]
-    found = I.classify_changes(existing, crawled.unionByName(added), ["doc_id"], columns)
+    stale = t.labels.select(
+        "doc_id", F.lit("xx").alias("lang"), F.lit(-1).cast("bigint").alias("n_chars"), F.lit("older").alias("source"),
+        F.lit(0).alias("scraped_at"),
+    )
+    incoming = stale.unionByName(crawled).unionByName(added)
+    found = I.classify_changes(existing, incoming, ["doc_id"], columns, order=[F.col("scraped_at").desc()])
     return found.select("doc_id", "action", F.array_join("changed", ",").alias("changed"))
 
 

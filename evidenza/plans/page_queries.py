@@ -100,7 +100,8 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY place, pos
 def section_order(t: Tables):
     links = P.section_links(
         t.pages.select("page_id", "url", "html"),
-        nav_pattern=r"(?is)<nav>(.*?)</nav>",
+        nav_tag="nav",
+        nav_classes=(),
         order=("The", "of", "and", "to"),
         skip=("The",),
     )

@@ -6,7 +6,7 @@ on documents that already sit in a table column.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,31 +31,48 @@ def _stem(file_name: Column, suffix: str) -> Column:
 # --- JSON documents ---------------------------------------------------------
 
 
+def is_one_object(value: Column) -> Column:
+    """Whether the text is one JSON object from beginning to end."""
+    # between brackets, anything but one whole value gives another length or none
+    whole = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
+    return F.coalesce(whole & F.json_object_keys(value).isNotNull(), F.lit(False))
+
+
 def parse_documents(
     rows: DataFrame, schema: T.StructType, keep: Sequence[str] = ("country",), value: str = "value"
 ) -> DataFrame:
     """JSON documents in a column as typed columns plus ``is_corrupt``.
 
     A field of the wrong type becomes null and the rest of the document stays;
-    text that is no JSON object at all is marked and keeps only its key.
+    text that is not exactly one JSON object is marked and keeps only its key.
     """
     parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE"})
-    # Any JSON object yields an array of its keys, anything else null.
-    is_object = F.json_object_keys(F.col(value)).isNotNull()
-    return rows.select(*keep, F.col(value), parsed.alias("_doc")).select(
-        *keep, *[F.col(f"_doc.{n}").alias(n) for n in schema.fieldNames()], (~is_object).alias("is_corrupt")
+    return rows.select(*keep, (~is_one_object(F.col(value))).alias("is_corrupt"), parsed.alias("_doc")).select(
+        *keep,
+        *[F.when(~F.col("is_corrupt"), F.col(f"_doc.{n}")).alias(n) for n in schema.fieldNames()],
+        "is_corrupt",
     )
 
 
-def read_structured(spark: SparkSession, path: str) -> DataFrame:
-    """Directory of per-country JSON files; the file stem is the country key."""
-    files = _whole_files(spark, path, "*.json").withColumn("country", _stem(F.col("file_name"), ".json"))
-    return parse_documents(files, STRUCTURED_DOCUMENT)
+def _json_rows(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    """JSON texts with their country: the partition folder if there is one, else the file stem.
+
+    ``lines`` says how the files are made: one object per line, as the writers
+    of this library leave them, or one object per file.
+    """
+    rows = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=not lines)
+    stem = _stem(F.col("_metadata.file_name"), ".json")
+    country = F.col("country").cast("string") if "country" in rows.columns else stem
+    return rows.select(country.alias("country"), "value").filter(F.btrim("value", F.lit(" \t\r\n")) != "")
+
+
+def read_structured(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    """Structured documents of a folder; see ``_json_rows`` for ``lines`` and the key."""
+    return parse_documents(_json_rows(spark, path, lines), STRUCTURED_DOCUMENT)
 
 
-def read_unstructured(spark: SparkSession, path: str) -> DataFrame:
-    files = _whole_files(spark, path, "*.json").withColumn("country", _stem(F.col("file_name"), ".json"))
-    return parse_documents(files, UNSTRUCTURED_DOCUMENT).withColumn(
+def read_unstructured(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    return parse_documents(_json_rows(spark, path, lines), UNSTRUCTURED_DOCUMENT).withColumn(
         "timestamp", F.col("timestamp").try_cast("timestamp")
     )
 
@@ -98,8 +115,13 @@ def read_prediction_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def explode_nested(rows: DataFrame, leaf: T.StructType, value: str = "value") -> DataFrame:
-    """country -> label -> fields as one row per (country, label)."""
-    parsed = rows.select(F.from_json(F.col(value), nested(leaf)).alias("_m"))
+    """country -> label -> fields as one row per (country, label).
+
+    A text that is not exactly one JSON object ends the job instead of vanishing.
+    """
+    bad = F.raise_error(F.concat(F.lit("not one JSON object: "), F.left(F.col(value), F.lit(80))))
+    checked = F.when(is_one_object(F.col(value)), F.col(value)).otherwise(bad.cast("string"))
+    parsed = rows.select(F.from_json(checked, nested(leaf)).alias("_m"))
     return (
         parsed.select(F.explode("_m").alias("country", "_labels"))
         .select("country", F.explode("_labels").alias("label", "_leaf"))
@@ -109,25 +131,21 @@ def explode_nested(rows: DataFrame, leaf: T.StructType, value: str = "value") ->
 
 def _read_nested(spark: SparkSession, path: str, leaf: T.StructType, lines: bool) -> DataFrame:
     rows = spark.read.text(path, wholetext=not lines)
-    return explode_nested(rows.filter(F.btrim("value") != ""), leaf)
+    return explode_nested(rows.filter(F.btrim("value", F.lit(" \t\r\n")) != ""), leaf)
 
 
-def read_predictions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Prediction JSON: one object, or with ``lines`` one object per line."""
+def read_predictions(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    """Prediction JSON: with ``lines`` one object per line, as written here, else one per file."""
     return _read_nested(spark, path, PREDICTION, lines)
 
 
-def read_truth(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_truth(spark: SparkSession, path: str, lines: bool) -> DataFrame:
     return _read_nested(spark, path, TRUTH, lines)
 
 
 # --- tables -----------------------------------------------------------------
 
 
-def read_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> Mapping[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
-
-
 def sections_of_countries(countries: DataFrame, sections: DataFrame) -> DataFrame:
     """All sections with their country's columns in one join instead of a query per country."""
     return countries.join(sections, countries.doc_id == sections.country_doc_id)

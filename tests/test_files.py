@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from evidenza.operators import classify as C
@@ -36,7 +38,7 @@ def test_structured_folder(spark, tmp_path):
         bad__json='{"country_name": "x", ',
         notes__txt="ignored",
     )
-    documents = readers.read_structured(spark, path).cache()
+    documents = readers.read_structured(spark, path, lines=False).cache()
     assert tuple(readers.ingest_outcome(documents).first()) == (2, 1)
     readable = documents.filter("NOT is_corrupt")
     names = {
@@ -61,13 +63,15 @@ def test_structured_round_trip(spark, tmp_path):
     path = str(tmp_path / "structured")
     for _ in range(2):  # a second run replaces, it does not append
         sinks.write_structured(sections, path)
-    back = I.explode_sections(spark.read.schema("country string, country_name string, sections map<string, struct<content: array<string>, url: string>>").json(path))
+    back = I.explode_sections(readers.read_structured(spark, path, lines=True))
     assert {(r.country, r.section_title, r.text_content) for r in back.collect()} == {
         ("m", "Summary", "a\nb"), ("m", "Targets", "c"),
     }
     flat = str(tmp_path / "unstructured")
     sinks.write_unstructured(sections, flat, F.col("content"))
-    row = spark.read.json(flat).filter("urls.Summary IS NOT NULL").first()
+    again = readers.read_unstructured(spark, flat, lines=True)
+    assert again.count() == 2 and not any(r.is_corrupt for r in again.collect())
+    row = again.filter("urls.Summary IS NOT NULL").first()
     assert row.content == ["a", "b"] and row.version == "1.0" and row.country == "m"
     items = str(tmp_path / "items")
     sinks.write_items(sections.withColumn("section_title", F.lit("Net Zero")), items)
@@ -80,7 +84,7 @@ def test_unstructured_folder(spark, tmp_path):
         "country_slug": "m", "country_name": "Mexico", "content": ["# Summary", "x", "\n---\n"],
         "urls": {"Summary": "https://example.org/m/"}, "timestamp": "2025-03-01T10:20:30.123456", "version": "1.0",
     }
-    row = readers.read_unstructured(spark, put(tmp_path, m__json=json.dumps(doc))).first()
+    row = readers.read_unstructured(spark, put(tmp_path, m__json=json.dumps(doc)), lines=False).first()
     assert row.content == doc["content"] and row.urls == doc["urls"] and row.timestamp.hour == 10
 
 
@@ -110,7 +114,7 @@ def test_predictions_file(spark, tmp_path):
         "": {"net_zero_target": {"yes_no": "no"}},
     }
     path = put(tmp_path, predictions__json=json.dumps(nested, indent=2)) + "/predictions.json"
-    rows = readers.read_predictions(spark, path).filter("country <> ''")
+    rows = readers.read_predictions(spark, path, lines=False).filter("country <> ''")
     assert {(r.country, r.label, r.yes_no) for r in rows.collect()} == {
         ("argentina", "net_zero_target", "yes"), ("argentina", "carbon_pricing", "no"),
     }
@@ -119,7 +123,25 @@ def test_predictions_file(spark, tmp_path):
     again = readers.read_predictions(spark, out, lines=True)
     assert sorted(map(repr, again.collect())) == sorted(map(repr, rows.collect()))
     truth = put(tmp_path, truth__json='{"a": {"sector_targets": {"yes_no": "yes", "targets": [{"sector": ["x"]}]}}}') + "/truth.json"
-    assert [tuple(r) for r in readers.read_truth(spark, truth).collect()] == [("a", "sector_targets", "yes")]
+    assert [tuple(r) for r in readers.read_truth(spark, truth, lines=False).collect()] == [("a", "sector_targets", "yes")]
+
+
+def test_nothing_vanishes_from_json_files(spark, tmp_path):
+    two = '{"country_name": "a", "sections": {}}\n{"country_name": "b", "sections": {}}\n'
+    path = put(tmp_path, many__json=two, cut__json='{"country_name": ', text__json="words")
+    whole = {r.country: r.is_corrupt for r in readers.read_structured(spark, path, lines=False).collect()}
+    assert whole == {"many": True, "cut": True, "text": True}
+    assert tuple(readers.ingest_outcome(readers.read_structured(spark, path, lines=True)).first()) == (2, 2)
+    leaves = [(f"c{i}", "net_zero_target", "yes") for i in range(5)]
+    rows = spark.createDataFrame(leaves, "country string, label string, yes_no string")
+    for name, kind in (("explanation", "string"), ("year", "array<string>"), ("sectors", "array<string>"), ("quote", "string"), ("confidence", "double"), ("source_url", "string")):
+        rows = rows.withColumn(name, F.lit(None).cast(kind))
+    out = str(tmp_path / "predictions")
+    sinks.write_predictions(C.nest_predictions(rows.coalesce(1)), out)
+    assert {r.country for r in readers.read_predictions(spark, out, lines=True).collect()} == {r[0] for r in leaves}
+    for bad in (out, path):
+        with pytest.raises(Exception, match="not one JSON object"):
+            readers.read_predictions(spark, bad, lines=False).collect()
 
 
 def test_lines_and_ordered_text(spark, tmp_path):

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from evidenza.functions.text import decode_entities
 from evidenza.operators import pages as P
 
 PAGE = """
@@ -87,3 +88,28 @@ def test_document_lines(spark):
     assert lines == ["# Summary", "a", "b", "\n---\n"]
     lines = [r.line for r in P.markdown_lines(rows).orderBy("line_no").collect()]
     assert lines == ["\n# Summary\n", "a", "b"]
+
+
+LOOSE = """<nav class="side"><a href="/x/">not a section</a></nav>
+<a href="/countries/cote-d'ivoire/">CI</a> <a href=/countries/chile/>Chile</a>
+<a class="a>b" title='href="/countries/no/"' href='/countries/peru/'>Peru</a> <abbr href="/countries/abbr/">x</abbr>
+<ul class="wide nav-pills nav"><li><a href="/s/"><span>Sources</span></a><ul><li><a href=/p/>Policies &amp; Actions</a></li></ul></li>
+<li><a href="/t/">Tar<b>gets</b></a></li></ul>
+<div class="nav nav-pills"><br><a href="/a/">Assumptions</a><a name="no-link">none</a></div><a href="/after/">Targets</a>"""
+
+
+def test_loose_markup_loses_nothing(spark):
+    rows = spark.createDataFrame([(1, "https://example.org/", LOOSE), (2, "https://example.org/", None)], "page_id long, url string, html string")
+    assert sorted(r.link for r in P.page_links(rows).collect()) == [
+        "https://example.org/countries/chile/", "https://example.org/countries/cote-d'ivoire/", "https://example.org/countries/peru/",
+    ]
+    found = P.section_links(rows).orderBy("rank").collect()
+    assert [(r.section_title, r.section_url.removeprefix("https://example.org")) for r in found] == [
+        ("Targets", "/t/"), ("Policies & Actions", "/p/"), ("Assumptions", "/a/"), ("Sources", "/s/"),
+    ]
+
+
+def test_bad_entities_do_not_end_the_job(spark):
+    text = "&#9999999; &#xD800; &#0; &#128; &#x80; &#99999999999999999999999; &#233; &#xe9; &#; &amp;lt;"
+    row = spark.createDataFrame([(text,)], "t string").select(decode_entities(F.col("t")).alias("t")).first()
+    assert row.t == "\ufffd \ufffd \ufffd \u20ac \u20ac \ufffd \xe9 \xe9 &#; &lt;"

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import functions as F
 
 from evidenza.functions.encoders import HashingEncoder, encode_column, encode_rows
@@ -60,10 +61,30 @@ def test_small_batch_does_not_shuffle_the_stored_table(spark, tmp_path):
     sections(spark, [("u1", "m", "S", "new", None, "en", None), ("x", "m", "S", "new", None, "en", None)]).write.parquet(batch)
     merged = I.section_upsert(spark.read.parquet(stored), spark.read.parquet(batch), now())
     plan_text = merged._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan_text and "hashpartitioning" not in plan_text
+    assert "BroadcastHashJoin" in plan_text
+    # only the batch is dealt by key, to find its newest rows; no scan of the stored table is
+    above = []
+    for line in plan_text.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        above = [(d, x) for d, x in above if d < depth] + [(depth, line)]
+        if "FileScan" in line and "/stored" in line:
+            assert not any("hashpartitioning" in x for _, x in above)
     assert merged.count() == 101 and merged.filter("text_content = 'new'").count() == 2
 
 
+def test_last_version_in_a_batch_wins(spark):
+    old = sections(spark, [("u1", "m", "S", "text one", [1.0], "en", None)])
+    batch = spark.createDataFrame(
+        [("u1", "m", "S", "text two", None, 1), ("u1", "m", "S", "text one", None, 2), ("u2", "m", "S", "b", None, 2), ("u2", "m", "S", "a", None, 1)],
+        "section_url string, country_doc_id string, section_title string, text_content string, language string, at int",
+    )
+    got = {r.section_url: r for r in I.section_upsert(old, batch, now(), [F.col("at").desc()]).collect()}
+    assert len(got) == 2 and I.section_upsert(old, batch, now(), [F.col("at").desc()]).count() == 2
+    assert got["u1"].embedding == [1.0] and got["u2"].text_content == "b"
+    found = I.classify_changes(old, batch, ["section_url"], ["text_content"], order=[F.col("at").desc()]).collect()
+    assert [(r.section_url, r.action) for r in found] == [("u2", "insert")]
+
+
 def test_country_upsert(spark):
     old = spark.createDataFrame([("m", "Mexiko", "u", "es", None, None)], COUNTRIES)
     new = spark.createDataFrame([("m", "Mexico", "u2", None, None, None), ("p", "Peru", "u3", None, None, None)], COUNTRIES)
