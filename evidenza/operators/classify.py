@@ -279,7 +279,10 @@ def answer_blocks(reports: DataFrame, key: Sequence[str] = ("country",), value:
         lambda s: (s != "") & ~s.rlike(r"^(-{3,}|\*{3,})$") & ~F.lower(s).startswith("source url:"),
     )
     source = F.filter("_plain", lambda s: F.lower(s).startswith("source url:"))
-    url = F.regexp_extract(F.array_join(source, "\n"), r"(https?://[^\s\]\)]+)", 1)
+    # the text of a Markdown link, brackets in it and all, else a bare address
+    said = F.array_join(source, "\n")
+    linked = F.regexp_extract(said, r"\[(https?://\S+?)\]\(", 1)
+    url = F.when(linked != "", linked).otherwise(F.regexp_extract(said, r"(https?://\S+)", 1))
     # one step per projection, so that no array is computed twice
     blocks = (
         reports.select(*key, F.posexplode(parts).alias("block_no", "_block"))
@@ -326,11 +329,11 @@ def prediction_block(label: str = "label", **names: str) -> Column:
         "\n\n",
         F.concat(F.lit("## "), label_title(F.col(label))),
         F.concat(F.lit("- **Answer**: `"), or_default(field("yes_no"), "N/A"), F.lit("`")),
-        F.concat(F.lit("- **Explanation**: "), or_default(field("explanation"), "")),
+        F.concat(F.lit("- **Explanation**: "), or_default(field("explanation"), "None")),
         F.concat(F.lit("- **Year(s)**: "), F.array_join(field("year"), ", ")),
         F.concat(F.lit("- **Sector(s)**: "), F.array_join(field("sectors"), ", ")),
-        F.concat(F.lit("- **Confidence**: "), or_default(number_text(field("confidence"), 4), "N/A")),
-        F.concat(F.lit("- **Source URL**: "), or_default(field("source_url"), "N/A")),
+        F.concat(F.lit("- **Confidence**: "), or_default(number_text(field("confidence"), 4), "None")),
+        F.concat(F.lit("- **Source URL**: "), or_default(field("source_url"), "None")),
         F.concat(F.lit("> "), F.replace(F.coalesce(field("quote"), F.lit("")), F.lit("\n"), F.lit(" ")), F.lit("\n")),
     )
 

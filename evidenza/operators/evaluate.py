@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -217,7 +218,8 @@ def low_confidence_counts(
 def project_2d(rows: DataFrame, key: str, vector: str) -> DataFrame | None:
     """First two principal components of the vectors, or None for a single row.
 
-    Each axis is turned so that its largest loading is positive.
+    Each axis is turned so that its largest loading is positive; the points are
+    centered, as the components are those of the covariance.
     """
     if len(rows.select(key).take(2)) < 2:
         return None
@@ -225,7 +227,8 @@ def project_2d(rows: DataFrame, key: str, vector: str) -> DataFrame | None:
     model = PCA(k=2, inputCol="_v", outputCol="_p").fit(data)
     loadings = model.pc.toArray()
     signs = [1.0 if column[abs(column).argmax()] >= 0 else -1.0 for column in loadings.T]
+    center = data.select(Summarizer.mean(F.col("_v")).alias("m")).first().m.toArray() @ loadings
     point = vector_to_array("_p")
     return model.transform(data).select(
-        key, *[(F.get(point, F.lit(i)) * F.lit(signs[i])).alias(f"pc{i + 1}") for i in range(2)]
+        key, *[((F.get(point, F.lit(i)) - F.lit(float(center[i]))) * F.lit(signs[i])).alias(f"pc{i + 1}") for i in range(2)]
     )

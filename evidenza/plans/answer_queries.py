@@ -249,9 +249,9 @@ blocks AS (
   SELECT doc_id, list_position({list(C.LABELS)}, label) AS place, concat_ws(chr(10) || chr(10),
     '## ' || CASE label WHEN 'net_zero_target' THEN 'Net Zero Target' WHEN 'sector_targets' THEN 'Sector Targets'
        WHEN 'efficiency_target' THEN 'Efficiency Target' WHEN 'electricity_net_zero' THEN 'Electricity Net Zero' ELSE 'Carbon Pricing' END,
-    '- **Answer**: `' || yes_no || '`', '- **Explanation**: ' || coalesce(explanation, ''),
+    '- **Answer**: `' || yes_no || '`', '- **Explanation**: ' || coalesce(explanation, 'None'),
     '- **Year(s)**: ' || array_to_string(years, ', '), '- **Sector(s)**: ' || array_to_string(sectors, ', '),
-    '- **Confidence**: ' || coalesce({CONFIDENCE_TEXT}, 'N/A'), '- **Source URL**: ' || coalesce(source_url, 'N/A'),
+    '- **Confidence**: ' || coalesce({CONFIDENCE_TEXT}, 'None'), '- **Source URL**: ' || coalesce(source_url, 'None'),
     '> ' || replace(quote, chr(10), ' ') || chr(10)) AS block FROM predictions),
 pages_out AS (
   SELECT doc_id, '# Policy Targets for Document ' || doc_id || chr(10) || chr(10) || chr(10)

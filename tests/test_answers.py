@@ -128,8 +128,8 @@ def test_prediction_page(spark):
     )
     page = C.country_pages(df, F.initcap("country")).first().page
     assert page == (
-        "# Policy Targets for Mexico\n\n\n## Net Zero Target\n\n- **Answer**: `no`\n\n- **Explanation**: \n\n"
-        "- **Confidence**: N/A\n\n- **Source URL**: N/A\n\n> q\n\n\n"
+        "# Policy Targets for Mexico\n\n\n## Net Zero Target\n\n- **Answer**: `no`\n\n- **Explanation**: None\n\n"
+        "- **Confidence**: None\n\n- **Source URL**: None\n\n> q\n\n\n"
         "## Sector Targets\n\n- **Answer**: `yes`\n\n- **Explanation**: Why.\n\n- **Year(s)**: 2020, 2021\n\n"
         "- **Sector(s)**: Energy\n\n- **Confidence**: 0.8435\n\n- **Source URL**: https://example.org/a\n\n> line break\n"
     )
@@ -221,7 +221,7 @@ def test_projection(spark):
     _, _, axes = np.linalg.svd(data - data.mean(0), full_matrices=False)
     for i in range(2):
         axis = axes[i] * np.sign(axes[i][abs(axes[i]).argmax()])
-        assert np.allclose(got[:, i], data @ axis)
+        assert np.allclose(got[:, i], (data - data.mean(0)) @ axis)
     assert V.project_2d(df.limit(1), "k", "v") is None
 
 
