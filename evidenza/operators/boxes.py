@@ -110,11 +110,10 @@ def format_boxes(infos: DataFrame) -> DataFrame:
 
 
 def box_document(boxes: DataFrame, labels: Sequence[str], order: Sequence[str] = ("name",)) -> DataFrame:
-    """Boxes in document order: country order, then label order.
+    """Boxes with ``label_place``; the document order is ``order``, then ``label_place``.
 
-    The document stays a set of rows; written as text with ``BOX_SEPARATOR``
-    between rows it is the finished file.  Sorting is a range shuffle, so no
-    task ever holds the whole document.
+    The document stays a set of rows.  ``write_ordered_text`` sorts them, once,
+    and with ``BOX_SEPARATOR`` between rows its files are the finished document.
     """
     place = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("label"))
-    return boxes.withColumn("label_place", place.cast("int")).orderBy(*order, "label_place")
+    return boxes.select(*dict.fromkeys([*order, *boxes.columns]), place.cast("int").alias("label_place"))

@@ -6,7 +6,6 @@ from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -291,6 +290,10 @@ class _BlockReader(HTMLParser):
         return self.blocks
 
 
+# Pages whose blocks are held at a time.
+PAGES_AT_ONCE = 200
+
+
 def page_blocks(
     pages: DataFrame,
     containers: Mapping[str, Sequence[str]] = CONTAINERS,
@@ -304,19 +307,27 @@ def page_blocks(
     tags, nesting), so it is the one page operator that parses in Python.
     """
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for page, markup in zip(batch[key], batch[html], strict=True):
-                reader = _BlockReader(containers)
-                reader.feed(markup or "")
-                texts = ((b, "".join(b["parts"]).strip()) for b in reader.finish())
-                kept = [(b, t) for b, t in texts if t]
-                rows += [(page, i, b["tag"], b["has_id"], t) for i, (b, t) in enumerate(kept)]
-            yield pd.DataFrame(rows, columns=[key, "pos", "tag", "has_id", "text"])
-
     key_type = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html).mapInPandas(
+    names = [key, "pos", "tag", "has_id", "text"]
+    kinds = [pa.int32(), pa.string(), pa.bool_(), pa.string()]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), PAGES_AT_ONCE):
+                part = batch.slice(start, PAGES_AT_ONCE)
+                rows = []
+                for page, markup in enumerate(part.column(html)):
+                    reader = _BlockReader(containers)
+                    reader.feed(markup.as_py() or "")
+                    texts = ((b, "".join(b["parts"]).strip()) for b in reader.finish())
+                    kept = [(b, t) for b, t in texts if t]
+                    rows += [(page, i, b["tag"], b["has_id"], t) for i, (b, t) in enumerate(kept)]
+                page, *others = zip(*rows, strict=True) if rows else [[]] * 5
+                keys = part.column(key).take(pa.array(page, pa.int64()))
+                columns = [pa.array(c, k) for c, k in zip(others, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([keys, *columns], names)
+
+    return pages.select(key, html).mapInArrow(
         read, f"`{key}` {key_type}, pos int, tag string, has_id boolean, text string"
     )
 

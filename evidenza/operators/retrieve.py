@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from evidenza.functions.encoders import encode_rows
 from evidenza.functions.sentences import chunks, sentences
 from evidenza.functions.text import fixed
+from evidenza.operators.spread import join_spread
 
 # The questions are shipped to every task, so their size is checked; a batch of
 # candidates is scored against this many of them at a time.
@@ -59,7 +60,7 @@ def chunk_lineage(
     The join happens on whole sections, before they multiply into chunks.
     """
     home = countries.select(F.col("doc_id").alias("country_doc_id"), "country_url")
-    located = sections.join(home, "country_doc_id").withColumn(
+    located = join_spread(sections, home, ["country_doc_id"], key).withColumn(
         "source_url", F.coalesce(F.col("section_url"), F.col("country_url"))
     )
     return chunk_rows(located, ["country_doc_id", *key, "source_url"], **chunking)

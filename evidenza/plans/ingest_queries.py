@@ -38,7 +38,7 @@ def sections_scan(t: Tables):
     sections = t.documents.select(
         F.col("source").alias("country_doc_id"), F.col("doc_id").alias("section_id"), "n_chars"
     )
-    return sections_of_countries(countries, sections).select(
+    return sections_of_countries(countries, sections, ["section_id"]).select(
         "country_name", "country_doc_id", F.col("section_id").alias("doc_id"), "n_chars"
     )
 

@@ -137,6 +137,35 @@ def embedding_progress(t: Tables):
     return E.embedding_progress(done).withColumnRenamed("country_doc_id", "country")
 
 
+class MarkedEncoder(HashingEncoder):
+    """Fails on every text that holds the marker."""
+
+    marker = "license"
+
+    def encode_batch(self, texts):
+        if any(self.marker in t.lower() for t in texts):
+            raise ValueError("marked text")
+        return super().encode_batch(texts)
+
+
+@query(
+    "embedding_failures",
+    f"""
+WITH s AS (
+  SELECT d.source, e.vec_id IS NOT NULL AS done, length(trim(d.text, {WS})) < 20 AS short,
+         contains(lower(d.text), '{MarkedEncoder.marker}') AS marked
+  FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id)
+SELECT source AS country, count(*) FILTER (NOT done AND NOT short AND NOT marked) AS n_embedded,
+       count(*) FILTER (NOT done AND NOT short AND marked) AS n_failed
+FROM s GROUP BY source
+""",
+)
+def embedding_failures(t: Tables):
+    """A failing text costs only its own row, in whatever batch it stands."""
+    done = E.embedding_progress(E.embed_pending(_sections(t), MarkedEncoder, DIM))
+    return done.select(F.col("country_doc_id").alias("country"), "n_embedded", "n_failed")
+
+
 @query(
     "content_embedding",
     f"""

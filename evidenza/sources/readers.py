@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evidenza.functions.text import title_case
+from evidenza.operators.spread import join_spread
 from evidenza.schemas import PREDICTION, STRUCTURED_DOCUMENT, TRUTH, UNSTRUCTURED_DOCUMENT, nested
 
 
@@ -146,6 +147,12 @@ def read_truth(spark: SparkSession, path: str, lines: bool) -> DataFrame:
 # --- tables -----------------------------------------------------------------
 
 
-def sections_of_countries(countries: DataFrame, sections: DataFrame) -> DataFrame:
-    """All sections with their country's columns in one join instead of a query per country."""
-    return countries.join(sections, countries.doc_id == sections.country_doc_id)
+def sections_of_countries(
+    countries: DataFrame, sections: DataFrame, spread: Sequence[str] = ("section_url",)
+) -> DataFrame:
+    """All sections with their country's columns in one join instead of a query per country.
+
+    ``spread`` tells the sections of a country apart, see ``join_spread``.
+    """
+    home = countries.withColumn("country_doc_id", F.col("doc_id"))
+    return join_spread(sections, home, ["country_doc_id"], spread)

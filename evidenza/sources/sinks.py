@@ -8,24 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _by_country(
-    df: DataFrame, country: str, path: str, kind: str, order: Sequence[str] = (), keep_order: bool = True
-) -> None:
-    """Directory per country, replacing only the countries that are written.
+# Parts that the rows of one country are split into, so files of one country at most.
+COUNTRY_PARTS = 32
 
-    Range partitioning on (country, ``order``) keeps a small country in one file
-    and splits a country that holds most of the rows over many, in order.
-    """
-    ordered = df.repartitionByRange(country, *order).sortWithinPartitions(country, *order)
-    if not keep_order:
-        ordered = ordered.drop(*order)
-    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+def _write(df: DataFrame, country: str, path: str, kind: str) -> None:
+    """Directory per country, replacing only the countries that are written."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     getattr(writer.partitionBy(country), kind)(path)
 
 
+def _by_country(df: DataFrame, country: str, path: str, kind: str, spread: Sequence[str]) -> None:
+    """Rows dealt by country and a salt of their ``spread`` columns.
+
+    A hash needs no sampling, so what made the rows runs once, and a country
+    that holds most of them goes through many tasks.
+    """
+    part = F.pmod(F.xxhash64(*spread), F.lit(COUNTRY_PARTS))
+    dealt = df.repartition(F.col(country), part).sortWithinPartitions(country, *spread)
+    _write(dealt.drop(*[c for c in spread if c.startswith("_")]), country, path, kind)
+
+
 def write_documents(df: DataFrame, path: str, country: str = "country", value: str = "value") -> None:
     """One text (report, page) per country."""
-    _by_country(df.select(country, value), country, path, "text")
+    _write(df.select(country, value).repartition(country), country, path, "text")
 
 
 def write_lines(
@@ -33,16 +39,20 @@ def write_lines(
 ) -> None:
     """Ordered lines of per-country documents.
 
-    A repeated write replaces a country's lines instead of appending them again.
+    Range partitioning on (country, ``order``) keeps a small country in one file
+    and splits a large one over many, in order.  A repeated write replaces a
+    country's lines instead of appending them again.
     """
-    _by_country(df.select(country, *order, line), country, path, "text", order, keep_order=False)
+    rows = df.select(country, *order, line)
+    ordered = rows.repartitionByRange(country, *order).sortWithinPartitions(country, *order)
+    _write(ordered.drop(*order), country, path, "text")
 
 
 def write_structured(sections: DataFrame, path: str, country: str = "country") -> None:
     """Structured JSON, one object per section line: ``{country_name, sections:{title:{content,url}}}``."""
     body = F.create_map(F.col("section_title"), F.struct("content", F.col("section_url").alias("url")))
-    rows = sections.select(country, "country_name", body.alias("sections"), "section_url")
-    _by_country(rows, country, path, "json", ["section_url"], keep_order=False)
+    rows = sections.select(country, "country_name", body.alias("sections"), F.col("section_url").alias("_url"))
+    _by_country(rows, country, path, "json", ["_url"])
 
 
 def write_unstructured(
@@ -57,16 +67,16 @@ def write_unstructured(
         F.create_map("section_title", "section_url").alias("urls"),
         F.col("scraped_at").alias("timestamp"),
         F.lit(version).alias("version"),
-        "section_url",
+        F.col("section_url").alias("_url"),
     )
-    _by_country(rows, country, path, "json", ["section_url"], keep_order=False)
+    _by_country(rows, country, path, "json", ["_url"])
 
 
 def write_items(items: DataFrame, path: str, country: str = "country", section: str = "section_title") -> None:
     """JSON items in a directory per country and section."""
     named = items.withColumn("section", F.replace(F.lower(section), F.lit(" "), F.lit("_")))
     (
-        named.repartitionByRange(country, "section")
+        named.repartition(country, "section")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(country, "section")

@@ -126,6 +126,22 @@ def test_predictions_file(spark, tmp_path):
     assert [tuple(r) for r in readers.read_truth(spark, truth, lines=False).collect()] == [("a", "sector_targets", "yes")]
 
 
+def test_writing_runs_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(50).select(
+        F.lit("hot").alias("country"), F.lit("Hot").alias("country_name"), F.lit("T").alias("section_title"),
+        F.col("id").cast("string").alias("section_url"), F.array(F.lit("x")).alias("content"),
+    )
+    sinks.write_structured(rows.mapInArrow(counted, rows.schema), str(tmp_path / "out"))
+    assert seen.value == 50 and readers.read_structured(spark, str(tmp_path / "out"), lines=True).count() == 50
+
+
 def test_nothing_vanishes_from_json_files(spark, tmp_path):
     two = '{"country_name": "a", "sections": {}}\n{"country_name": "b", "sections": {}}\n'
     path = put(tmp_path, many__json=two, cut__json='{"country_name": ', text__json="words")

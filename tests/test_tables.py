@@ -216,6 +216,24 @@ def test_no_pairs_and_no_full_rows_in_the_plan(spark):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
+def test_texts_are_not_dealt_by_country_alone(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(100).select(
+            F.concat(F.lit("hot"), F.col("id") % 1).alias("country_doc_id"), F.col("id").cast("string").alias("section_url"), F.lit("T").alias("section_title"),
+            F.lit("One sentence. Two sentences.").alias("text_content"),
+        )
+        countries = spark.createDataFrame([("hot0", "https://example.org/")], "doc_id string, country_url string")
+        found = R.chunk_lineage(rows, countries)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "hashpartitioning(country_doc_id" in text
+        assert all("_part" in x for x in text.splitlines() if "hashpartitioning" in x)
+        assert found.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_end_to_end(spark):
     questions = plan.question_table(spark)
     countries = spark.createDataFrame(
