@@ -62,7 +62,7 @@ def listed(rules: DataFrame) -> DataFrame:
     )
 
 
-def _slots(hashed: Column, blocks: int) -> list[Column]:
+def slots(hashed: Column, blocks: int) -> list[Column]:
     """The block of a hash, then one bit of each word."""
     bits = [F.shiftrightunsigned(hashed, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(WORDS)]
     return [F.pmod(F.xxhash64(hashed), F.lit(blocks)), *bits]
@@ -72,7 +72,7 @@ def bloom_filter(keys: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> np.ndarr
     """(blocks, 8) words; only blocks with a key come to the driver, ``max_bytes`` at most."""
     wanted = max(1, keys.count() * BITS_PER_KEY // (64 * WORDS))
     blocks = min(1 << (wanted - 1).bit_length(), max_bytes // (8 * WORDS))
-    slots = keys.select(F.xxhash64("key").alias("h")).select(*_slots(F.col("h"), blocks))
+    slots = keys.select(F.xxhash64("key").alias("h")).select(*slots(F.col("h"), blocks))
     slots = slots.toDF("block", *[f"b{i}" for i in range(WORDS)])
     one = F.lit(1).cast("bigint")
     filled = slots.groupBy("block").agg(*[
@@ -116,7 +116,7 @@ def judge(pages: DataFrame, rules: DataFrame, max_bytes: int = MAX_FILTER_BYTES)
     )
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(starts, lambda p: _key(s, p))))
     tried = urls.where("host != ''").select("url", F.explode(keys).alias("key")).withColumn("h", F.xxhash64("key"))
-    hits = tried.where(might_contain(spark.sparkContext.broadcast(table))(*_slots(F.col("h"), len(table))))
+    hits = tried.where(might_contain(spark.sparkContext.broadcast(table))(*slots(F.col("h"), len(table))))
     longest = F.struct((F.col("n_host") + F.col("n_path")).alias("n"), "n_host", "rule", "says")
     verdicts = (
         hits.join(entries, "key").groupBy("url").agg(F.max(longest).alias("best"))

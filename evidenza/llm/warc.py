@@ -36,6 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evidenza.llm.storage import new_path, written
+from evidenza.llm.urls import bloom_filter, might_contain, slots
 
 VERSION = "WARC/1.0\r\n"
 END = "\r\n\r\n"
@@ -63,15 +64,27 @@ def payload_digest(payload: Column) -> Column:
 
 
 def plan_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """Pages with ``payload``, its ``bytes`` and ``digest``, ``record_type`` and ``refers_to``."""
+    """Pages with ``payload``, its ``bytes`` and ``digest``, ``record_type`` and ``refers_to``.
+
+    Only payloads that may be repeated meet in a join; a Bloom filter of bounded
+    size keeps the others, payloads and all, out of the shuffle.
+    """
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(
         "page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("bigint").alias("bytes"),
         payload_digest(payload.cast("binary")).alias("digest"),
     )
-    first = rows.groupBy("digest", "bytes").agg(F.min("page_id").alias("first_id"))
-    own = F.col("page_id").eqNullSafe(F.col("first_id")) | (F.col("bytes") < revisit_bytes)
-    return rows.join(first, ["digest", "bytes"]).select(
+    groups = rows.groupBy("digest", "bytes").agg(F.count("*").alias("n"), F.min("page_id").alias("first_id"))
+    repeated = written(groups.where("n > 1").drop("n"), "repeated-payloads")
+    table = bloom_filter(repeated.select(F.col("digest").alias("key")))
+    spread = rows.withColumn("maybe", might_contain(pages.sparkSession.sparkContext.broadcast(table))(
+        *slots(F.xxhash64("digest"), len(table))
+    ))
+    own = F.col("page_id").eqNullSafe(F.col("first_id")) | (F.col("bytes") < revisit_bytes) | F.col("single")
+    met = spread.where("maybe").join(repeated.withColumn("single", F.lit(False)), ["digest", "bytes"], "left")
+    met = met.withColumn("single", F.coalesce("single", F.lit(True)))
+    alone = spread.where("NOT maybe").withColumns({"first_id": F.lit(None).cast("bigint"), "single": F.lit(True)})
+    return met.unionByName(alone).select(
         "page_id", "url", "payload", "bytes", "digest",
         F.when(own, "response").otherwise("revisit").alias("record_type"),
         F.when(~own, F.col("first_id")).alias("refers_to"),

@@ -103,7 +103,7 @@ def test_filter_has_no_false_negatives_and_few_false_positives(spark):
     probe = urls.might_contain(spark.sparkContext.broadcast(table))
 
     def passing(rows):
-        return rows.select(F.xxhash64("key").alias("h")).where(probe(*urls._slots(F.col("h"), len(table)))).count()
+        return rows.select(F.xxhash64("key").alias("h")).where(probe(*urls.slots(F.col("h"), len(table)))).count()
 
     assert passing(keys) == 5000
     assert passing(spark.range(5000).select(F.concat(F.lit("other\n/"), F.col("id").cast("string")).alias("key"))) < 150
