@@ -72,10 +72,10 @@ def bloom_filter(keys: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> np.ndarr
     """(blocks, 8) words; only blocks with a key come to the driver, ``max_bytes`` at most."""
     wanted = max(1, keys.count() * BITS_PER_KEY // (64 * WORDS))
     blocks = min(1 << (wanted - 1).bit_length(), max_bytes // (8 * WORDS))
-    slots = keys.select(F.xxhash64("key").alias("h")).select(*slots(F.col("h"), blocks))
-    slots = slots.toDF("block", *[f"b{i}" for i in range(WORDS)])
+    placed = keys.select(F.xxhash64("key").alias("h")).select(*slots(F.col("h"), blocks))
+    placed = placed.toDF("block", *[f"b{i}" for i in range(WORDS)])
     one = F.lit(1).cast("bigint")
-    filled = slots.groupBy("block").agg(*[
+    filled = placed.groupBy("block").agg(*[
         F.bit_or(F.call_function("shiftleft", one, F.col(f"b{i}"))).alias(f"w{i}") for i in range(WORDS)
     ])
     table = np.zeros((blocks, WORDS), np.int64)
