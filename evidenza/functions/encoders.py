@@ -22,6 +22,9 @@ ENCODER_BATCH = 32
 class HashingEncoder:
     """Term counts in ``dim`` md5 buckets, unit length; needs no model files."""
 
+    # distinct tokens are hashed once per batch, so large batches cost least
+    batch_size = 1024
+
     def __init__(self, dim: int = 64, normalize: bool = True):
         self.dim = dim
         self.normalize = normalize
@@ -47,6 +50,9 @@ class HashingEncoder:
 def encode_rows(encoder, texts: list[str | None], batch_size: int = ENCODER_BATCH) -> list:
     """One vector or None per text; a text that fails costs only its own row.
 
+    Batches have ``batch_size`` texts unless the encoder declares its own; one
+    that fails is halved until the failing texts stand alone.
+
     An encoder that declares ``max_chars`` gets a longer text in windows of that
     many characters, all of which are encoded; the vector is their mean by length.
     """
@@ -55,18 +61,18 @@ def encode_rows(encoder, texts: list[str | None], batch_size: int = ENCODER_BATC
         return _encode_windows(encoder, texts, batch_size, limit)
     vectors: list = [None] * len(texts)
     present = [i for i, t in enumerate(texts) if t is not None]
-    for start in range(0, len(present), batch_size):
-        rows = present[start : start + batch_size]
+    size = getattr(encoder, "batch_size", batch_size)
+    waiting = [present[start : start + size] for start in range(0, len(present), size)]
+    while waiting:
+        rows = waiting.pop()
         try:
             encoded = encoder.encode_batch([texts[i] for i in rows])
             for i, vector in zip(rows, encoded, strict=True):
                 vectors[i] = vector
         except Exception:
-            for i in rows:
-                try:
-                    vectors[i] = encoder.encode_batch([texts[i]])[0]
-                except Exception:
-                    vectors[i] = None
+            if len(rows) > 1:
+                half = len(rows) // 2
+                waiting += [rows[:half], rows[half:]]
     return vectors
 
 
