@@ -256,8 +256,8 @@ def test_mix_pieces_add_up(docs):
 # language model
 
 
-@pytest.mark.parametrize("order, size", [(1, 2_000_000), (2, 2_000_000), (2, 50), (3, 700)])
-def test_backoff_scores_equal_brute_force(docs, order, size):
+@pytest.mark.parametrize("order, held", [(1, 2_000_000), (2, 2_000_000), (2, 50), (3, 700)])
+def test_backoff_scores_equal_brute_force(docs, order, held):
     rows = [(d, words_of(lowered(t))) for d, t in rows_of(docs)]
     counts = Counter(tuple(w[i : i + k]) for _, w in rows for k in range(1, order + 1) for i in range(len(w) - k + 1))
     total = sum(len(w) for _, w in rows)
@@ -276,7 +276,7 @@ def test_backoff_scores_equal_brute_force(docs, order, size):
         for i in range(len(w)):
             gram = tuple(w[max(0, i - order + 1) : i + 1])
             want[d] += log_s(gram) + (order - len(gram)) * np.log(0.4)
-    found = stupid_backoff.backoff_scores(docs, order=order, block_words=size, part_words=size).collect()
+    found = stupid_backoff.backoff_scores(docs, order=order, block_words=held, part_words=held).collect()
     assert {r.doc_id: r.n_words for r in found} == dict(size)
     for r in found:
         assert r.log_score == pytest.approx(want[r.doc_id], rel=1e-9, abs=1e-9)
