@@ -50,7 +50,7 @@ ORDER = 2
 BACKOFF = 0.4
 MIN_COUNT = 2
 #: Words that a block holds before it is closed.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 #: Words of the corpus for each hash partition of the count tables.
 PART_WORDS = 4_000_000
 
