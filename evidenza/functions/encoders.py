@@ -18,27 +18,51 @@ from pyspark.sql import functions as F
 
 ENCODER_BATCH = 32
 
+# Bytes of a lower-case text as they count in words: a-z as they are, all others as spaces.
+_LETTERS = np.full(256, ord(" "), np.uint8)
+_LETTERS[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
+
+
+def letter_words(texts: list[str]) -> pa.ListArray:
+    """Runs of a-z in the lower-case form of each text, with an empty piece at ends that hold none."""
+    lowered = pc.utf8_lower(pa.array(texts, pa.large_string()))
+    _, ends, data = lowered.buffers()
+    plain = _LETTERS[np.frombuffer(data, np.uint8)] if data else np.empty(0, np.uint8)
+    spaced = pa.LargeStringArray.from_buffers(len(lowered), ends, pa.py_buffer(plain))
+    return pc.ascii_split_whitespace(spaced)
+
 
 class HashingEncoder:
     """Term counts in ``dim`` md5 buckets, unit length; needs no model files."""
 
     # distinct tokens are hashed once per batch, so large batches cost least
-    batch_size = 1024
+    batch_size = 2048
+    # buckets that are remembered from batch to batch; beyond that the memory starts anew
+    cache_limit = 1 << 18
 
     def __init__(self, dim: int = 64, normalize: bool = True):
         self.dim = dim
         self.normalize = normalize
+        self._known: dict[str, int] = {}
 
     def bucket(self, token: str) -> int:
-        return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % self.dim
+        """The first four md5 bytes of a token, modulo ``dim``; -1 for an empty one."""
+        digest = hashlib.md5(token.encode()).digest()
+        self._known[token] = place = int.from_bytes(digest[:4], "big") % self.dim if token else -1
+        return place
+
+    def buckets(self, tokens: pa.Array) -> np.ndarray:
+        if len(self._known) > self.cache_limit:
+            self._known.clear()
+        known = self._known
+        return np.array([known[t] if t in known else self.bucket(t) for t in tokens.to_pylist()], np.int64)
 
     def encode_batch(self, texts: list[str]) -> np.ndarray:
         """Splits and counts in Arrow and numpy; only distinct tokens are hashed one by one."""
-        pieces = pc.split_pattern_regex(pc.utf8_lower(pa.array(texts, pa.string())), "[^a-z]+")
+        pieces = letter_words(texts)
         tokens = pc.list_flatten(pieces).dictionary_encode()
         row = pc.list_parent_indices(pieces).to_numpy().astype(np.int64)
-        buckets = np.array([self.bucket(t) if t else -1 for t in tokens.dictionary.to_pylist()], np.int64)
-        at = buckets[tokens.indices.to_numpy()] if len(buckets) else np.empty(0, np.int64)
+        at = self.buckets(tokens.dictionary)[tokens.indices.to_numpy()]
         real = at >= 0  # the ends of a text split off empty pieces
         cells = np.bincount(row[real] * self.dim + at[real], minlength=len(texts) * self.dim)
         counts = cells.reshape(len(texts), self.dim).astype(np.float64)
