@@ -23,12 +23,12 @@ from, every text is ``und``.
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +42,8 @@ FEATURES = 1 << 16
 GRAM_SIZES = (1, 2, 3, 4)
 CHUNK = 32
 STEPS = 60
-WORD = re.compile(r"[^\W\d_]+")
+#: Runs of letters only, as in training; numerals such as a half are none.
+WORD = regex.compile(r"\p{L}+")
 FOUND = (
     "struct<lang: string, score: double, spans: array<struct<first_word: int, n_words: int, lang: string>>>"
 )
