@@ -11,8 +11,8 @@ at most g - 1 links, never all its pairs.  Components are found by alternating
 large-star and small-star steps, each written to the shared folder.
 
 Defined cases: a null or empty text, or one without words, has fingerprint zero
-and links like any other.  Rows that share a doc_id are one document (their
-fingerprints belong to one node).  A row without doc_id gets a fingerprint and
+and links like any other.  Rows that share a doc_id are one document: their
+fingerprints are linked.  A row without doc_id gets a fingerprint and
 the component of its fingerprint, null if no row with a doc_id has it; it links
 no others.  Columns besides the two named ones are not read.
 """
@@ -199,13 +199,21 @@ def components(links: DataFrame) -> DataFrame:
         links = small.union(low).distinct().toDF("node", "parent")
 
 
+def repeat_links(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Links ``(node, parent)`` between the fingerprints of a doc_id that has several."""
+    spread = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
+    several = rows.join(spread.where("low != high"), "doc_id", "left_semi")
+    return several.join(known, "fp").where("node < doc_id").select(
+        F.col("doc_id").alias("node"), F.col("node").alias("parent")
+    ).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row of ``docs``."""
     rows = written(fingerprints(docs), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
     known = nodes.where("node IS NOT NULL")
-    # fingerprints of one repeated doc_id share a node and link through it
-    roots = components(close_links(known))
+    roots = components(close_links(known).union(repeat_links(rows, known)))
     classes = nodes.join(roots, "node", "left").select("fp", F.coalesce("parent", "node").alias("component_id"))
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
 

@@ -100,6 +100,14 @@ def test_components_of_a_long_chain(spark):
     assert found == {**{i: 0 for i in range(1, 201)}, 1001: 1000}
 
 
+def test_a_document_with_several_texts_links_them(spark):
+    """Rows that share a doc_id are one document: their fingerprints reach each other."""
+    rows = [(5, "one two three four"), (5, "other words in this row"), (3, "one two three four"),
+            (9, "other words in this row"), (4, "nothing like the rest of them")]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(3, 3), (4, 4), (5, 3), (5, 3), (9, 3)]
+
+
 def test_one_of_each(docs):
     kept = [r.doc_id for r in simhash.one_of_each(docs).collect()]
     roots = {r.doc_id for r in simhash.near_duplicates(docs).collect() if r.doc_id is not None and r.doc_id == r.component_id}
@@ -119,6 +127,12 @@ def test_operators_on_nothing(nothing, spark):
     assert decontaminate.contamination(nothing, spark.createDataFrame([], "item_id bigint, text string")).count() == 0
 
 
+def test_numerals_are_no_letters():
+    model = crf.train([("en", ["the", "house", "and", "garden"] * 5), ("fr", ["le", "chat", "dans", "maison"] * 5)])
+    found = crf.label_texts(model, ["\u00bd \u00b2 \u2167 12_", "\u00bd house", None, ""])
+    assert [x["lang"] for x in found] == ["und", "en", "und", "und"]
+
+
 # exact duplicates
 
 
