@@ -1,12 +1,17 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
 The patterns are the windows of all benchmark items: ten consecutive words after
-normalisation, or the whole item if it has fewer.  Documents are normalised the
-same way (A-Z lower-cased, words joined by one space, a space at both ends, so
-matches begin and end at word edges) and scanned once; hits are counted in words
-and mapped back to the original text.  The benchmark is shipped to the tasks;
-its windows are measured first, and a set beyond ``MAX_PATTERN_CHARS`` is split
-into automata of at most that size which are scanned one after another.
+normalisation, or the whole item if it has fewer.  Each distinct word of the
+benchmark gets a code of three characters, one from each of three alphabets, so
+matches begin and end at word edges.  A document is normalised the same way (A-Z
+lower-cased), coded word by word, words unknown to the benchmark as a code that no
+window holds, and scanned once.  Hits are word numbers, which are mapped back to
+the original text.
+
+The windows are shipped to the tasks, at most ``MAX_PATTERN_WORDS`` words of them at
+a time.  A larger benchmark is cut into automata of that size; each scans the
+numbered documents in a pass of its own that emits only hits, and the hits of a
+document are put together afterwards.
 
 Defined cases: a null text, of a document or an item, has no words; an item
 without words has no window; rows that repeat an item_id are one item; an item
@@ -16,6 +21,8 @@ without item_id marks words and is listed as ``null``.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -24,15 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidenza.llm.batches import text_udf
+from evidenza.llm.storage import new_path, written
 
 WINDOW_WORDS = 10
-#: Characters of patterns in one automaton, about 100 bytes of memory each at most.
-MAX_PATTERN_CHARS = 4_000_000
+#: Words of windows in one automaton, about 300 bytes of memory each at most.
+MAX_PATTERN_WORDS = 1_000_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-HITS = (
-    "struct<n_words: bigint, n_hit: bigint, items: array<string>, "
-    "spans: array<struct<start: int, stop: int>>>"
-)
+#: Number of words, places of those inside a window, and the items found.
+HITS = "struct<n_words: bigint, places: array<int>, items: array<string>>"
+SPANS = "array<struct<start: int, stop: int>>"
 
 
 def lower(text: str) -> str:
@@ -42,10 +49,13 @@ def lower(text: str) -> str:
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
+def lowered(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def item_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """``(window, items)``: each distinct window and the sorted ids of its items."""
-    text = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.regexp_extract_all(text, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1))
+    words = F.regexp_extract_all(lowered(F.col("text")), F.lit(f"({WORD.pattern})"), F.lit(1))
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), words.alias("w"))
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))
     windows = F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.lit(size)), " "))
@@ -53,89 +63,133 @@ def item_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     return rows.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def pattern_groups(windows: DataFrame, max_chars: int = MAX_PATTERN_CHARS) -> list[list[tuple[str, list[str]]]]:
-    """The windows in groups of at most ``max_chars``, normally one."""
-    groups, chars = [[]], 0
+def pattern_groups(windows: DataFrame, max_words: int = MAX_PATTERN_WORDS) -> Iterator[list[tuple[str, list[str]]]]:
+    """The windows in groups of at most ``max_words`` words, normally one."""
+    group, held = [], 0
     for row in windows.orderBy("window").toLocalIterator():
-        chars += len(row.window)
-        if chars > max_chars and groups[-1]:
-            groups.append([])
-            chars = len(row.window)
-        groups[-1].append((row.window, list(row["items"])))
-    return groups
-
-
-def build_automaton(patterns: list[tuple[str, list[str]]]) -> ahocorasick.Automaton:
-    automaton = ahocorasick.Automaton()
-    for window, items in patterns:
-        automaton.add_word(f" {window} ", (len(window), window.count(" ") + 1, tuple(items)))
-    if len(automaton):
-        automaton.make_automaton()
-    return automaton
+        n_words = row.window.count(" ") + 1
+        if group and held + n_words > max_words:
+            yield group
+            group, held = [], 0
+        group.append((row.window, list(row["items"])))
+        held += n_words
+    yield group
 
 
 class Scanner:
-    """Automata of one worker; with several groups only one is held at a time."""
-
-    def __init__(self, groups: list[list[tuple[str, list[str]]]]):
-        self.groups = groups
-        self.only = build_automaton(groups[0]) if len(groups) == 1 else None
-
-    def scan(self, texts: list[str | None]) -> list[dict]:
-        words = [WORD.findall(lower(t)) if t else [] for t in texts]
-        joined = [f" {' '.join(w)} " if w else "" for w in words]
-        hit: list[dict] = [{} for _ in texts]
-        items: list[set] = [set() for _ in texts]
-        for group in self.groups:
-            automaton = self.only or build_automaton(group)
-            if not len(automaton):
-                continue
-            for k, text in enumerate(joined):
-                for end, (_, n_words, names) in automaton.iter(text):
-                    # the match ends at the space after its last word
-                    hit[k].setdefault(end, set()).add(n_words)
-                    items[k].update(names)
-        return [self.result(*x) for x in zip(texts, words, joined, hit, items, strict=True)]
-
-    @staticmethod
-    def result(text, words, joined, hit, items) -> dict:
-        if not hit:
-            return {"n_words": len(words), "n_hit": 0, "items": [], "spans": []}
-        spaces = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 32)
-        marked = np.zeros(len(words) + 1, np.int64)
-        for end, lengths in hit.items():
-            last = int(np.searchsorted(spaces, end))  # that many words end at or before it
-            marked[last - max(lengths)] += 1
-            marked[last] -= 1
-        inside = np.cumsum(marked[:-1]) > 0
-        edges = np.flatnonzero(np.diff(np.r_[False, inside, False].astype(np.int8)))
-        places = [m.span() for m in WORD.finditer(lower(text))]
-        spans = [
-            {"start": places[a][0], "stop": places[b - 1][1]} for a, b in edges.reshape(-1, 2).tolist()
-        ]
-        return {"n_words": len(words), "n_hit": int(inside.sum()), "items": sorted(items), "spans": spans}
-
-
-def scan_column(text: Column, spark, groups: list[list[tuple[str, list[str]]]]) -> Column:
-    """Struct of n_words, n_hit, items, and the hit spans in the original text."""
-    shipped = spark.sparkContext.broadcast(groups)
-    kind = pa.struct([
-        ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
-        ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
-    ])
+    """The automaton of one group of windows, over words coded as characters."""
+
+    DIGITS = 128
+    CODE_CHARS = 3
+    UNKNOWN = "\0\0\0"
+
+    def __init__(self, group: list[tuple[str, list[str]]]):
+        self.codes: dict[str, str] = {}
+        self.automaton = ahocorasick.Automaton()
+        for window, items in group:
+            words = window.split(" ")
+            self.automaton.add_word("".join([self.code(word) for word in words]), (len(words), tuple(items)))
+        if len(self.automaton):
+            self.automaton.make_automaton()
+
+    def code(self, word: str) -> str:
+        """Digits of the word's number, highest first; few words make few branches at the root."""
+        if word not in self.codes:
+            left, digits = len(self.codes), []
+            for place in range(1, self.CODE_CHARS + 1):
+                left, digit = divmod(left, self.DIGITS)
+                digits.append(chr(place * self.DIGITS + digit))
+            if left:
+                raise ValueError("an automaton of so many words has no codes left")
+            self.codes[word] = "".join(reversed(digits))
+        return self.codes[word]
+
+    def scan(self, text: str | None) -> dict:
+        words = WORD.findall(lower(text)) if text else []
+        if not words or not len(self.automaton):
+            return {"n_words": len(words), "places": [], "items": []}
+        coded = "".join([self.codes.get(word, self.UNKNOWN) for word in words])
+        longest: dict[int, int] = {}
+        items: set[str] = set()
+        for end, (n_words, names) in self.automaton.iter(coded):
+            last = end // self.CODE_CHARS
+            longest[last] = max(n_words, longest.get(last, 0))
+            items.update(names)
+        if not longest:
+            return {"n_words": len(words), "places": [], "items": []}
+        edges = np.zeros(len(words) + 1, np.int32)
+        for last, n_words in longest.items():
+            edges[last + 1 - n_words] += 1
+            edges[last + 1] -= 1
+        return {"n_words": len(words), "places": np.flatnonzero(np.cumsum(edges[:-1])), "items": sorted(items)}
+
+
+def scan_column(text: Column, spark, group: list[tuple[str, list[str]]]) -> Column:
+    """Struct of n_words, places of hit words, and items."""
+    shipped = spark.sparkContext.broadcast(group)
+    kind = pa.struct([("n_words", pa.int64()), ("places", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
     scanner: list[Scanner] = []
 
     def work(texts: pa.Array) -> pa.Array:
         if not scanner:
             scanner.append(Scanner(shipped.value))
-        return pa.array(scanner[0].scan(texts.to_pylist()), kind)
+        return pa.array([scanner[0].scan(x.as_py()) for x in texts], kind)
 
     return text_udf(work, HITS)(text)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """Every row of ``docs`` as struct ``row`` beside ``found`` (see ``scan_column``)."""
-    groups = pattern_groups(item_windows(benchmark, size))
-    return docs.select(F.struct("*").alias("row")).withColumn(
-        "found", scan_column(F.col("row.text"), docs.sparkSession, groups)
+def original_spans(texts: pa.Array, places: pa.Array) -> pa.Array:
+    """Character ranges of the original text for runs of word numbers."""
+    found = []
+    for text, words in zip(texts, places, strict=True):
+        at = np.asarray(words.values) if words.is_valid else np.empty(0, np.int64)
+        spans = []
+        if len(at):
+            ends = [m.span() for m in WORD.finditer(lower(text.as_py()))]
+            runs = np.split(at, np.flatnonzero(np.diff(at) > 1) + 1)
+            spans = [{"start": ends[run[0]][0], "stop": ends[run[-1]][1]} for run in runs]
+        found.append(spans)
+    return pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))
+
+
+original_spans.__annotations__ = {"texts": pa.Array, "places": pa.Array, "return": pa.Array}
+
+
+def _scanned_in_passes(rows: DataFrame, groups: Iterable[list[tuple[str, list[str]]]]) -> DataFrame:
+    """``rows`` with ``hits``, one pass over the numbered texts for each group."""
+    spark = rows.sparkSession
+    numbered = written(rows.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    folder = new_path(spark, "hits")
+    for group in groups:
+        hits = numbered.select("number", scan_column(F.col("row.text"), spark, group).alias("hits"))
+        hits.where(F.size("hits.places") > 0).write.mode("append").parquet(folder)
+    whole = spark.read.schema(f"number bigint, hits {HITS}").parquet(folder).groupBy("number").agg(
+        F.array_sort(F.flatten(F.collect_set("hits.places"))).alias("places"),
+        F.array_sort(F.flatten(F.collect_set("hits.items"))).alias("items"),
     )
+    n_words = F.regexp_count(lowered(F.col("row.text")), F.lit(WORD.pattern)).cast("bigint")
+    return numbered.join(whole, "number", "left").select("row", F.struct(
+        n_words.alias("n_words"),
+        F.array_distinct(F.coalesce("places", F.array().cast("array<int>"))).alias("places"),
+        F.array_distinct(F.coalesce("items", F.array().cast("array<string>"))).alias("items"),
+    ).alias("hits"))
+
+
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, max_words: int = MAX_PATTERN_WORDS
+) -> DataFrame:
+    """Every row of ``docs`` as struct ``row`` beside ``found``: n_words, n_hit, items, and
+    spans of the original text."""
+    rows = docs.select(F.struct("*").alias("row"))
+    groups = pattern_groups(item_windows(benchmark, size), max_words)
+    first, second = next(groups), next(groups, None)
+    if second is None:
+        scanned = rows.withColumn("hits", scan_column(F.col("row.text"), docs.sparkSession, first))
+    else:
+        scanned = _scanned_in_passes(rows, chain([first, second], groups))
+    touched = F.when(F.size("hits.places") > 0, F.col("row.text"))
+    return scanned.select("row", F.struct(
+        F.col("hits.n_words").alias("n_words"), F.size("hits.places").cast("bigint").alias("n_hit"),
+        F.col("hits.items").alias("items"),
+        F.arrow_udf(original_spans, SPANS)(touched, F.col("hits.places")).alias("spans"),
+    ).alias("found"))

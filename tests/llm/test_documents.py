@@ -365,16 +365,24 @@ def hits_by_hand(text, items):
     return len(words), len(hit), sorted(names)
 
 
-@pytest.mark.parametrize("max_chars", [10**6, 60])
-def test_windows_equal_brute_force(spark, clashing, monkeypatch, max_chars):
+@pytest.mark.parametrize("max_words", [10**6, 12])
+def test_windows_equal_brute_force(spark, clashing, max_words):
+    """In one automaton, and in several that scan one after another."""
     items = [
         (1, "Quick brown FOX jumps over the lazy dog near the river bank while"), (2, "lazy dog"), (10, "le chat noir"),
         (3, None), (4, "?!"), (1, "in the tall, green trees"), (None, "souris mange"), (5, "never seen in any of them at all"),
     ]
-    monkeypatch.setattr(decontaminate, "pattern_groups", lambda w, f=decontaminate.pattern_groups: f(w, max_chars))
-    found = decontaminate.contamination(clashing, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.contamination(clashing, benchmark, max_words=max_words).collect()
     assert len(found) == clashing.count()
     for r in found:
         assert (r.found.n_words, r.found.n_hit, r.found["items"]) == hits_by_hand(r.row.text, items)
         inside = [x for s in r.found.spans for x in WORD.findall(lowered(r.row.text[s.start : s.stop]))]
         assert len(inside) == r.found.n_hit
+
+
+def test_codes_of_many_words():
+    group = [(f"word{i} end", [str(i)]) for i in range(60_000)]
+    scanner = decontaminate.Scanner(group)
+    found = scanner.scan("x Word59999 END word3 y word3 end")
+    assert (found["n_words"], list(found["places"]), found["items"]) == (7, [1, 2, 5, 6], ["3", "59999"])
