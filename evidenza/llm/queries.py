@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidenza.llm import (
-    chat, crf, decontaminate, dedup, lines, mixing, simhash, stupid_backoff, urls, warc,
+    chat, crf, decontaminate, dedup, divergence, lines, mixing, prefix_trie, quality, simhash, stupid_backoff, urls, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -231,3 +231,152 @@ def benchmark_windows(spark: SparkSession, folder: str) -> DataFrame:
         sha256(F.array_join("found.items", ",")).alias("items_sha256"),
         (F.col("found.n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op11_divergence_skyband", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+t AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS l FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(l) AS BIGINT) AS nl FROM kept GROUP BY lang),
+used AS (SELECT lang, source, term, count(*) AS g FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (
+  SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, CAST(sum(g) AS BIGINT) AS n FROM used GROUP BY lang, source) USING (lang, source)
+  LEFT JOIN langs USING (lang)
+),
+p AS (
+  SELECT lang, source, term, coalesce(g, 0) AS g, l,
+    1 + (1000000000 * (coalesce(g, 0) + 5)) // (n + 5 * groups.v) AS p,
+    1 + (1000000000 * (l + 5)) // (nl + 5 * groups.v) AS q
+  FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN used USING (lang, source, term)
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+),
+rows AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE g > 0 AND p > q
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM rows
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+""")
+def divergence_skyband(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+@query("op12_line_quality", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+five AS (
+  SELECT doc, a, list_slice(w, a, a + 4) AS win
+  FROM (SELECT doc, w, unnest(range(1, greatest(len(w) - 3, 1))) AS a FROM d)
+),
+twice AS (SELECT doc, unnest(list(a)) AS a FROM five GROUP BY doc, win HAVING count(*) > 1),
+again AS (SELECT doc, count(DISTINCT pos) AS n FROM (SELECT doc, unnest(range(a, a + 5)) AS pos FROM twice) GROUP BY doc),
+lines AS (
+  SELECT doc, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
+  FROM (SELECT doc, unnest(string_split(text, chr(10))) AS line FROM d)
+),
+measured AS (
+  SELECT doc, line, len(w) AS n, list_sum(list_transform(w, lambda x: length(x))) AS chars,
+    len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
+    len(list_filter(w, lambda x: x IN ('|', '||', '>', '>>', '»', '·', '•', '/', '::'))) AS seps,
+    len(list_filter(w, lambda x: ends_with(x, '!'))) AS cries,
+    regexp_matches(line, '[.!?…。！？؟]["'')\]»”’]*[\x20\x09-\x0D]*$') AS ends,
+    regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      'accept cookies|all rights reserved|click here|cookie policy|enable javascript|licensed under|log in|lorem ipsum'
+      || '|privacy policy|released under|sign up|subscribe to|terms of service|terms of use') AS known
+  FROM lines WHERE len(w) > 0
+),
+verdicts AS (
+  SELECT *, (n < 8 AND NOT ends) OR 10 * symbols > chars OR (n >= 3 AND 2 * cries > n)
+    OR (seps >= 3 AND 5 * seps >= n) OR (known AND n <= 30) AS failed
+  FROM measured
+),
+sums AS (
+  SELECT doc, CAST(sum(n) AS BIGINT) AS n_words, CAST(sum(chars) AS BIGINT) AS word_chars,
+    CAST(sum(symbols) AS BIGINT) AS n_symbols, count(*) - count(DISTINCT line) AS n_dup_lines,
+    count(*) FILTER (failed) AS n_failed_lines, CAST(coalesce(sum(chars) FILTER (failed), 0) AS BIGINT) AS lost_chars
+  FROM verdicts GROUP BY doc
+),
+found AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, coalesce(n_symbols, 0) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words,
+    coalesce(n_failed_lines, 0) AS n_failed_lines, coalesce(lost_chars, 0) AS lost_chars
+  FROM d LEFT JOIN sums USING (doc) LEFT JOIN again USING (doc)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 100 * lost_chars > 50 * word_chars) AS kept,
+  n_failed_lines, lost_chars
+FROM found
+""")
+def line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "row.doc_id", "found.n_words", "found.word_chars", "found.n_symbols", "found.n_dup_lines", "found.n_repeat_words",
+        "base_failed", "kept", "found.n_failed_lines", "found.lost_chars",
+    )
+
+
+@query("op13_prefix_art", r"""
+WITH given AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+keyed AS (SELECT *, sha256(strlen(role) || chr(10) || role || chr(10) || text) AS id FROM given),
+turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) - 1 AS pos FROM keyed),
+crc_table AS (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM range(256) AS r(i)
+),
+crcs AS (SELECT list(v ORDER BY i) AS v FROM crc_table),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS first,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda crc, b: xor(crc >> 8, v[CAST(xor(crc, b) & 255 AS BIGINT) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crcs
+),
+rebuilt AS (
+  SELECT c.conv_id, t.role, t.text, 0 AS part, t.pos FROM convs AS c JOIN turns AS t ON t.conv_id = c.first AND t.pos < c.h
+  UNION ALL SELECT c.conv_id, t.role, t.text, 1, t.pos FROM convs AS c JOIN turns AS t ON t.conv_id = c.conv_id AND t.pos >= c.h
+),
+whole AS (
+  SELECT conv_id, coalesce(list({'role': role, 'text': text} ORDER BY part, pos) FILTER (role IS NOT NULL), []) AS turns
+  FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+),
+prefixes AS (SELECT conv_id, d, list_slice(turns, 1, d) AS node, len(turns) AS n_turns
+  FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM whole)),
+nodes AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = n_turns), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, d
+),
+linked AS (
+  SELECT c.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes AS k WHERE k.d = c.d + 1 AND list_slice(k.node, 1, c.d) = c.node) AS n_children
+  FROM nodes AS c LEFT JOIN nodes AS p ON p.d = c.d - 1 AND p.node = list_slice(c.node, 1, c.d - 1)
+),
+below AS (
+  SELECT list_slice(node, 1, u) AS node, count(*) FILTER (n_children = 0) AS n_leaves,
+    CAST(sum((n_convs - 1) * CASE WHEN d = 0 THEN 0 ELSE strlen(node[d].text) END) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS u FROM linked) GROUP BY ALL
+)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM linked JOIN below USING (node)
+""")
+def prefix_art(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
