@@ -217,14 +217,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = nodes.join(roots, "node", "left").select("fp", F.coalesce("parent", "node").alias("component_id"))
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
 
-
-def one_of_each(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its component, one row per doc_id.
-
-    ``groups`` is ``(doc_id, fp, component_id)``, by default that of :func:`near_duplicates`.
-    Rows without doc_id cannot be told apart by id and stay.
-    """
-    groups = near_duplicates(docs) if groups is None else groups
-    found = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(found, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))

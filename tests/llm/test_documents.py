@@ -108,16 +108,8 @@ def test_a_document_with_several_texts_links_them(spark):
     assert sorted((r.doc_id, r.component_id) for r in found) == [(3, 3), (4, 4), (5, 3), (5, 3), (9, 3)]
 
 
-def test_one_of_each(docs):
-    kept = [r.doc_id for r in simhash.one_of_each(docs).collect()]
-    roots = {r.doc_id for r in simhash.near_duplicates(docs).collect() if r.doc_id is not None and r.doc_id == r.component_id}
-    assert sorted(k for k in kept if k is not None) == sorted(roots)
-    assert kept.count(None) == 2
-
-
 def test_operators_on_nothing(nothing, spark):
     assert simhash.near_duplicates(nothing).count() == 0
-    assert simhash.one_of_each(nothing).columns == nothing.columns
     assert dedup.exact_duplicates(nothing).count() == 0
     assert lines.keep_bitmaps(nothing).count() == 0
     assert lines.apply_bitmaps(nothing, lines.keep_bitmaps(nothing)).count() == 0
