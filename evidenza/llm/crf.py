@@ -6,17 +6,18 @@ language, that hold it.  Labels are the languages met in training; transitions
 between labels are learned.  Forward-backward gives each word's distribution over
 languages in its context, so code-switched text gets a language per word; a
 document's language is the one with the largest expected share of letters, and
-that share is its score.
+that share is its score.  Its certainty is how sure the model is of its words, whatever their
+languages: the mean, over letters, of the likeliest language's probability.
 
 Training uses a sample of at most about ``sample_docs`` documents per language,
-by hash of the id, and ``sample_words`` consecutive words of each.  Their pieces are
-strung together in random order, so that the chain sees switches.  The model is a
+by hash of the id, and ``sample_words`` consecutive words of each, from a place that
+another hash of the id picks.  Their pieces are strung together in random order, so that the chain sees switches.  The model is a
 few MB whatever the corpus.  Prediction reads whole texts, in slices of bounded
 size: forward-backward runs over pieces of ``CHUNK`` words at once, whose
 transfer matrices carry the exact messages from piece to piece.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0 and
-no spans; rows with a null lang are not learned from; if nothing can be learned
+Defined cases: a null text, or one without a letter, is ``und`` with score and
+certainty 0 and no spans; rows with a null lang are not learned from; if nothing can be learned
 from, every text is ``und``.
 """
 
@@ -45,7 +46,7 @@ STEPS = 60
 #: Runs of letters only, as in training; numerals such as a half are none.
 WORD = regex.compile(r"\p{L}+")
 FOUND = (
-    "struct<lang: string, score: double, spans: array<struct<first_word: int, n_words: int, lang: string>>>"
+    "struct<lang: string, score: double, certainty: double, spans: array<struct<first_word: int, n_words: int, lang: string>>>"
 )
 
 
@@ -177,9 +178,11 @@ def training_sample(
     for name, count in sizes.items():
         share = math.ceil(min(1.0, sample_docs / count) * (1 << 20))
         wanted = wanted | ((F.col(lang) == name) & (cell < share))
-    words = F.slice(F.regexp_extract_all(F.col(text), F.lit(r"(\p{L}+)"), F.lit(1)), F.lit(1), F.lit(sample_words))
+    words = F.regexp_extract_all(F.col(text), F.lit(r"(\p{L}+)"), F.lit(1))
     most = 2 * sample_docs * len(sizes)
-    found = rows.where(wanted).select(cell.alias("c"), F.col(lang).alias("l"), words.alias("w")).orderBy("c", "l", "w")
+    found = rows.where(wanted).select(cell.alias("c"), F.xxhash64(F.lit("start"), F.col(key)).alias("h"), F.col(lang).alias("l"), words.alias("w"))
+    start = F.pmod("h", F.greatest(F.size("w") - sample_words, F.lit(0)) + 1).cast("int") + 1
+    found = found.select("c", "l", F.slice("w", start, F.lit(sample_words)).alias("w")).orderBy("c", "l", "w")
     return [(r.l, r.w) for r in found.limit(most).collect() if r.w]
 
 
@@ -244,11 +247,11 @@ def train(pieces: list[tuple[str, list[str]]], steps: int = STEPS, seed: int = 1
 
 
 def label_texts(model: Model, texts: list[str | None]) -> list[dict]:
-    """Language, score and word spans of each text."""
+    """Language, score, certainty and word spans of each text."""
     words = [WORD.findall(t) if t else [] for t in texts]
     sizes = np.array([len(w) for w in words])
     if not sizes.sum():
-        return [{"lang": UNKNOWN, "score": 0.0, "spans": []} for _ in texts]
+        return [{"lang": UNKNOWN, "score": 0.0, "certainty": 0.0, "spans": []} for _ in texts]
     tokens = pa.array([x for w in words for x in w], pa.string()).dictionary_encode()
     logits = emissions(model, tokens.dictionary)
     letters = pc.utf8_length(tokens.dictionary).to_numpy()
@@ -258,6 +261,7 @@ def label_texts(model: Model, texts: list[str | None]) -> list[dict]:
     starts = np.cumsum(sizes[full]) - sizes[full]
     weight = letters[token][:, None].astype(np.float64)
     share = np.add.reduceat(found * weight, starts, axis=0) / np.add.reduceat(weight, starts, axis=0)
+    sure = np.add.reduceat(found.max(axis=1) * weight[:, 0], starts) / np.add.reduceat(weight[:, 0], starts)
     best = found.argmax(axis=1)
     new = np.zeros(len(best), bool)
     new[1:] = best[1:] != best[:-1]
@@ -269,24 +273,26 @@ def label_texts(model: Model, texts: list[str | None]) -> list[dict]:
     for d, a, k, label in zip(owner.tolist(), edges.tolist(), run.tolist(), best[edges].tolist(), strict=True):
         spans[full[d]].append({"first_word": a - int(starts[d]), "n_words": k, "lang": model.labels[label]})
     top = share.argmax(axis=1)
-    result = [{"lang": UNKNOWN, "score": 0.0, "spans": []} for _ in texts]
+    result = [{"lang": UNKNOWN, "score": 0.0, "certainty": 0.0, "spans": []} for _ in texts]
     for d, k in zip(full.tolist(), range(len(full)), strict=True):
         score = min(1.0, float(share[k, top[k]]))
-        result[d] = {"lang": model.labels[top[k]], "score": score, "spans": spans[d]}
+        result[d] = {
+            "lang": model.labels[top[k]], "score": score, "certainty": min(1.0, float(sure[k])), "spans": spans[d],
+        }
     return result
 
 
 def language_column(text: Column, spark, model: Model | None) -> Column:
-    """Struct of lang, score and spans (runs of words of one language)."""
+    """Struct of lang, score, certainty and spans (runs of words of one language)."""
     shipped = spark.sparkContext.broadcast(model)
     kind = pa.struct([
-        ("lang", pa.string()), ("score", pa.float64()),
+        ("lang", pa.string()), ("score", pa.float64()), ("certainty", pa.float64()),
         ("spans", pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string())]))),
     ])
 
     def work(texts: pa.Array) -> pa.Array:
         if shipped.value is None:
-            return pa.array([{"lang": UNKNOWN, "score": 0.0, "spans": []}] * len(texts), kind)
+            return pa.array([{"lang": UNKNOWN, "score": 0.0, "certainty": 0.0, "spans": []}] * len(texts), kind)
         return pa.array(label_texts(shipped.value, texts.to_pylist()), kind)
 
     return text_udf(work, FOUND)(text)

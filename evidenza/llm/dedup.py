@@ -12,8 +12,8 @@ task holds more than that many keys at a time; copies are combined inside each
 Arrow batch before anything is shuffled.
 
 Defined cases: null and empty texts are equal; a row without doc_id is counted
-and is kept only if its group has no doc_id at all; rows that repeat a doc_id and
-its text are all kept together, as they name one document.
+and can stay only if its group has no doc_id at all; of rows that repeat a doc_id and
+its text one stays.
 """
 
 from __future__ import annotations
@@ -248,9 +248,12 @@ def update_index(
 
 def exact_duplicates(docs: DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
     """``(doc_id, digest, keep_id, group_size, kept)`` for every row of ``docs``."""
-    digests = written(docs.select("doc_id", content_digest(F.col("text")).alias("digest")), "digests")
-    index, _ = build_index(digests, shard_keys)
+    digests = docs.select("doc_id", content_digest(F.col("text")).alias("digest"))
+    digests = written(digests.withColumn("place", F.monotonically_increasing_id()), "digests")
+    index, _ = build_index(digests.drop("place"), shard_keys)
     classes = index.where("digest IS NOT NULL").select("digest", "keep_id", "group_size")
-    return digests.join(classes, "digest").select(
-        "doc_id", "digest", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "place"))
+    firsts = digests.groupBy("digest").agg(first.alias("first")).select("digest", F.col("first.place").alias("first"))
+    return digests.join(classes, "digest").join(firsts, "digest").select(
+        "doc_id", "digest", "keep_id", "group_size", (F.col("place") == F.col("first")).alias("kept")
     )

@@ -70,7 +70,7 @@ WITH plain AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
 )
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-  doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+  row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
 FROM plain WINDOW g AS (PARTITION BY t)
 """)
 def cuckoo_dedup(spark: SparkSession, folder: str) -> DataFrame:

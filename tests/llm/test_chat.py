@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -49,8 +50,56 @@ def test_rewritten_history_is_found(spark):
 
     rows = spark.createDataFrame(ROWS, "conv_id bigint, turn bigint, role string, text string").where("conv_id = 5")
     for template, flagged in ((forgetful, 199), (chat.instruct_template, 0)):
-        spans = chat.formatted_turns(rows, template, window=8).collect()
-        assert sum(r.rewrites for r in spans) == flagged and len(spans) == 200
+        for window in (None, 8):
+            spans = chat.formatted_turns(rows, template, window).collect()
+            assert sum(r.rewrites for r in spans) == flagged and len(spans) == 200
+
+
+def turns_of(spark, n, roles=("user", "assistant")):
+    rows = [(1, i, roles[i % len(roles)], f"turn {i}") for i in range(n)]
+    return rows, spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+
+
+def blanks_old(turns):
+    """Blanks turns older than 40."""
+    return "".join(f"<{role}>{text if i >= len(turns) - 40 else ''}" for i, (role, text) in enumerate(turns))
+
+
+def numbers(turns):
+    return "".join(f"{i}. {role}: {text}\n" for i, (role, text) in enumerate(turns))
+
+
+def alternates(turns):
+    if any(role != ("user", "assistant")[i % 2] for i, (role, _) in enumerate(turns)):
+        raise ValueError("roles must alternate, the user first")
+    return numbers(turns)
+
+
+def forgets(turns):
+    return "".join(f"<{text}>" if i == len(turns) - 1 else "<>" for i, (_, text) in enumerate(turns))
+
+
+def test_templates_see_true_prefixes(spark):
+    rows, frame = turns_of(spark, 60)
+    for template, flagged in ((blanks_old, 20), (numbers, 0), (alternates, 0), (forgets, 59)):
+        found = chat.formatted_turns(frame, template).collect()
+        assert sum(r.rewrites for r in found) == flagged
+        for i, r in enumerate(found):
+            assert template([t[2:] for t in rows[: i + 1]])[r.start : r.stop] == r.span
+        if not flagged:
+            assert "".join(r.span for r in found) == template([t[2:] for t in rows])
+
+
+def test_a_window_that_hides_something_is_flagged(spark):
+    _, frame = turns_of(spark, 60)
+    for template, flagged in ((blanks_old, 1), (numbers, 1), (chat.instruct_template, 0)):
+        found = chat.formatted_turns(frame, template, window=8).collect()
+        assert sum(r.rewrites for r in found) == flagged and found[-1].rewrites == bool(flagged)
+
+
+def test_other_templates_are_not_read_back():
+    with pytest.raises(ValueError, match="not a turn"):
+        chat.parse_span("<user>hello")
 
 
 def test_no_conversations(spark):

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from evidenza.llm.queries import ORACLES, QUERIES
@@ -54,6 +55,30 @@ def test_stages_keep_columns_and_decide(request, spark, folder, table):
     assert corpus_pipeline.mixture(spark, docs, folder).count() == len(given)
 
 
+def test_language_without_labels_keeps_texts_with_letters(spark):
+    rows = [(1, "two clean texts"), (2, "of plain words"), (3, "1234 !!"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()) == [1, 2]
+
+
+def test_a_text_in_several_languages_stays(spark):
+    words = {"en": "the house and garden of my brother", "fr": "le chat noir dort dans la maison", "de": "der hund und die katze schlafen"}
+    rows = [(i, " ".join([t] * 4), lang) for i, (lang, t) in enumerate(words.items())]
+    rows.append((9, " ".join(words.values()), None))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()) == [0, 1, 2, 9]
+
+
+def test_working_tables_go_with_their_run(spark, tmp_path):
+    from evidenza.llm import storage
+
+    with storage.scratch(spark):
+        gone = storage.written(spark.range(3), "gone").inputFiles()[0]
+        kept = storage.written(spark.range(4), "kept", kept=True)
+        assert os.path.exists(gone.removeprefix("file://"))
+    assert not os.path.exists(os.path.dirname(gone.removeprefix("file://"))) and kept.count() == 4
+
+
 @HERE
 def test_run_applies_every_stage(spark):
     found = corpus_pipeline.run(spark, FOLDER).collect()
