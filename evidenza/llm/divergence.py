@@ -49,7 +49,7 @@ FLUSH_BYTES = 16 << 20
 #: Terms of a group that one skyband is taken of.
 PART_TERMS = 16_384
 #: A cell holds this many terms of at most twice this many sources.
-BLOCK_TERMS = 4_096
+BLOCK_TERMS = 512
 TILE_SOURCES = 64
 #: A longer text is cut, between terms, into pieces of about this size.
 PIECE_BYTES = 4 << 20

@@ -244,20 +244,86 @@ def test_permutation_is_one_to_one(spark):
         assert sorted(r.x for r in found.collect()) == list(range(n))
 
 
-@pytest.mark.parametrize("table", ["docs", "clashing"])
-def test_mix_meets_targets(request, table):
-    docs = request.getfixturevalue(table)
+@pytest.mark.parametrize("n", [1, 2, 9, 640])
+def test_permutation_is_undone(spark, n):
+    size = F.lit(n).cast("bigint")
+    there = mixing.shuffled(F.col("id"), size, F.lit("key"))
+    found = spark.range(n).select("id", mixing.shuffled(there, size, F.lit("key"), inverse=True).alias("x")).collect()
+    assert all(r.x == r.id for r in found)
+
+
+def goals_by_hand(sizes):
+    """Target of each source: weights 5, 2, 1 in code point order, null last, filled up to three times the size."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    goal, free, left = {}, set(order), float(sum(sizes.values()))
+    while free:
+        rate = left / sum(weights[s] for s in free)
+        over = {s for s in free if 3 * sizes[s] < weights[s] * rate}
+        for s in over:
+            goal[s], left = 3.0 * sizes[s], left - 3 * sizes[s]
+        if not over:
+            goal |= {s: weights[s] * rate for s in free}
+        free = free - over if over else set()
+    return goal
+
+
+@pytest.mark.parametrize("table", ["docs", "clashing", "tiny"])
+def test_mix_meets_targets(request, spark, table):
+    if table == "tiny":
+        rows = [(i, "w " * n, s, None) for i, (n, s) in enumerate(
+            [(40, "a"), (70, "b"), (335, "c"), (64, "d"), (65, "e"), (1, "f"), (0, "g"), (128, None), (900, "h"), (30, "b"), (5000, "h")]
+        )]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    else:
+        docs = request.getfixturevalue(table)
     found = mixing.mixed_words(docs).collect()
     assert sorted((r.doc_id or -1, r.size) for r in found) == sorted((d or -1, len(words_of(t))) for d, t in rows_of(docs))
     assert all(0 <= r.taken <= 3 * r.size for r in found)
-    for source in {r.source for r in found}:
+    sizes = Counter()
+    for r in found:
+        sizes[r.source] += r.size
+    goals = goals_by_hand(sizes)
+    for source in sizes:
         own = [r for r in found if r.source == source]
-        assert sum(r.size for r in own) == own[0].source_size
-        assert abs(sum(r.taken for r in own) - own[0].target) <= 1.5 * mixing.BLOCK_WORDS
+        assert {r.source_size for r in own} == {sizes[source]}
+        assert own[0].target == pytest.approx(goals[source])
+        assert abs(sum(r.taken for r in own) - goals[source]) <= 0.5 + 1e-6
     again = mixing.mixed_words(docs.repartition(3)).collect()
     assert Counter(map(tuple, found)) == Counter(map(tuple, again))
 
 
+def test_mix_equals_brute_force(docs, monkeypatch, spark):
+    """Slots, blocks and cuts by hand: counts per shard number a source's slots, a permutation names their blocks."""
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 16)
+    monkeypatch.setattr(mixing, "GROUP_SHARDS", 3)
+    rows, goals, slots = mixing.mix(docs)
+    slots = slots.collect()
+    plan = {r.source: r for r in mixing.quotas(goals).collect()}
+    shards = Counter((r.shard) for r in slots)
+    assert sorted(shards) == list(range(len(shards))) and set(list(shards.values())[:-1]) <= {16, len(slots) % 16}
+    laid = defaultdict(list)
+    for r in rows.collect():
+        laid[r.source] += [(r.start + i, r.doc_id, r.size) for i in range(r.size)]
+    taken = Counter()
+    for source, p in plan.items():
+        own = [r for r in slots if r.source == source]
+        assert len(own) == p.slots and sum(r.cut is not None for r in own) == (p.cut is not None)
+        uses = Counter(r.block for r in own)
+        full = p.slots // p.blocks if p.blocks else 0
+        assert all(uses[b] in (full, full + 1) for b in range(p.blocks))
+        words = {at: (d, size) for at, d, size in laid[source]}
+        assert sorted(words) == list(range(p.source_size))
+        for r in own:
+            stop = min((r.block + 1) * 64, p.source_size) if r.cut is None else r.block * 64 + r.cut
+            for at in range(r.block * 64, stop):
+                taken[source, *words[at]] += 1
+    found = Counter()
+    for r in mixing.mixed_words(docs).collect():
+        found[r.source, r.doc_id, r.size] += r.taken
+    assert +found == +taken
+
+
 def test_mix_pieces_add_up(docs):
     taken = Counter()
     for r in mixing.mixed_pieces(docs).collect():
