@@ -28,12 +28,14 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         start = stop
 
 
-def text_udf(work: Callable[[pa.Array], pa.Array], returns: str) -> Callable[[Column], Column]:
-    """Arrow function of a string column, called on bounded slices of each batch."""
+def text_udf(
+    work: Callable[[pa.Array], pa.Array], returns: str, limit: int = SLICE_BYTES
+) -> Callable[[Column], Column]:
+    """Arrow function of a string column, called on slices of each batch of at most ``limit`` bytes."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = [work(batch.slice(a, b - a)) for a, b in slices(batch)]
+            parts = [work(batch.slice(a, b - a)) for a, b in slices(batch, limit)]
             yield pa.concat_arrays(parts) if parts else work(batch)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

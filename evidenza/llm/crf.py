@@ -42,6 +42,8 @@ LEXICON_WORDS = 2000
 FEATURES = 1 << 16
 GRAM_SIZES = (1, 2, 3, 4)
 CHUNK = 32
+#: Text whose words, features and messages are held at once.
+SLICE_BYTES = 512 << 10
 STEPS = 60
 #: Runs of letters only, as in training; numerals such as a half are none.
 WORD = regex.compile(r"\p{L}+")
@@ -295,7 +297,7 @@ def language_column(text: Column, spark, model: Model | None) -> Column:
             return pa.array([{"lang": UNKNOWN, "score": 0.0, "certainty": 0.0, "spans": []}] * len(texts), kind)
         return pa.array(label_texts(shipped.value, texts.to_pylist()), kind)
 
-    return text_udf(work, FOUND)(text)
+    return text_udf(work, FOUND, SLICE_BYTES)(text)
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", **bounds) -> Model | None:
