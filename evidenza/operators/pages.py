@@ -72,13 +72,20 @@ def page_links(
     return pages.select(*key, F.explode(resolved).alias("link"))
 
 
+# What stands in a tag after its name: quoted values may hold ``>``; a stray quote ends at the next one.
+_ATTRIBUTES = r"""(?=[\s/>])(?:(?:[^"'>]|"[^"]*+"|'[^']*+')*+>|[^>]*+>)"""
+
+
 def _direct_texts(html: Column, tag: str) -> Column:
-    """Text pieces that stand directly in each ``tag`` element, in page order."""
-    inner = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
+    """Text pieces that stand directly in each ``tag`` element, in page order.
+
+    An element that is never closed ends with the page.
+    """
+    inner = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}{_ATTRIBUTES}(.*?)(?:</{tag}\s*+>|\z)"), F.lit(1))
     pieces = F.transform(
         inner,
         lambda s: F.split(
-            F.regexp_replace(s, r"(?is)<([a-z0-9]+)\b[^>]*>.*?</\1\s*>|<[^>]+>", "\x01"), "\x01"
+            F.regexp_replace(s, rf"(?is)<([a-z0-9]+){_ATTRIBUTES}.*?</\1\s*>|<[^>]+>", "\x01"), "\x01"
         ),
     )
     return F.filter(F.flatten(pieces), lambda s: s != "")

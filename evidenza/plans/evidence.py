@@ -11,7 +11,7 @@ from evidenza.functions.encoders import HashingEncoder, encode_column
 from evidenza.functions.text import fixed
 from evidenza.operators.boxes import box_document, format_boxes, lookup_predictions, with_keys
 from evidenza.operators.classify import LABELS, QUESTIONS, classify, confidence
-from evidenza.operators.retrieve import best_evidence, chunk_lineage
+from evidenza.operators.retrieve import best_evidence, chunk_rows, evidence_chunks, located_sections
 
 
 def question_table(
@@ -36,20 +36,23 @@ def find_evidence(
 ) -> DataFrame:
     """Best chunk per (country, question): ``country, question_id, score, chunk, source_url``.
 
-    Chunks are encoded and scored in one pass and never stored.
+    Chunks are encoded and scored in one pass; only keys and scores leave it, and the texts of
+    the winners are read from their sections again.
     """
     if country:
         sections = sections.filter(F.col("country_doc_id") == country)
-    chunked = chunk_lineage(sections, countries).withColumnRenamed("country_doc_id", "country")
-    return best_evidence(
+    located = located_sections(sections, countries).withColumnRenamed("country_doc_id", "country")
+    key = ("country", "source_url", "section_title")
+    chunked = chunk_rows(located, key).withColumn("chunk_key", F.xxhash64("chunk"))
+    winners = best_evidence(
         chunked,
         questions,
-        order=("source_url", "section_title", "chunk_idx"),
-        carry=("chunk",),
+        order=("source_url", "section_title", "chunk_idx", "chunk_key"),
         text="chunk",
         encoder_factory=encoder_factory,
         k=k,
     )
+    return evidence_chunks(winners, located, key).drop("chunk_key")
 
 
 def predict(

@@ -115,14 +115,11 @@ def pipeline_predictions(t: Tables):
 @query(
     "pipeline_scores",
     f"""
-WITH truth AS (
-  SELECT doc_id AS country, CASE WHEN quality = 1 THEN 'yes' ELSE 'no' END AS yes_no, toxic FROM labels),
-cells AS (
+WITH cells AS (
   SELECT d.doc_id AS country, label,
-         CAST(t.yes_no = 'yes' AND (label <> 'carbon_pricing' OR toxic = 0) AS INTEGER) AS y_true,
-         CAST(contains(lower(d.text), 'the ') AND (label <> 'sector_targets' OR d.lang = 'en') AS INTEGER) AS y_pred
-  FROM documents d JOIN truth t ON t.country = d.doc_id, (SELECT unnest({list(C.LABELS)}) AS label)
-  WHERE d.lang <> 'fr'),
+         CAST(coalesce(quality = 1 AND (label <> 'carbon_pricing' OR toxic = 0), false) AS INTEGER) AS y_true,
+         CAST(coalesce(contains(lower(d.text), 'the ') AND (label <> 'sector_targets' OR d.lang = 'en'), false) AS INTEGER) AS y_pred
+  FROM documents d JOIN labels t ON t.doc_id = d.doc_id, (SELECT unnest({list(C.LABELS)}) AS label)),
 counted AS (
   SELECT CASE WHEN grouping(label) = 1 AND grouping(country) = 1 THEN 'overall' WHEN grouping(country) = 1 THEN 'label' ELSE 'country' END AS level,
          label, country, count(*) FILTER (y_true = 1 AND y_pred = 1) AS tp, count(*) FILTER (y_true = 0 AND y_pred = 1) AS fp,
@@ -135,17 +132,21 @@ FROM counted
 """,
 )
 def pipeline_scores(t: Tables):
-    """Documents as countries: some are only predicted, some only labelled (French ones),
-    and some labels are missing on either side."""
+    """Documents as countries: all are predicted, those with labels are scored."""
     labels = F.explode(F.array(*[F.lit(x) for x in C.LABELS])).alias("label")
+
+    def answer(holds):
+        return F.when(holds, "yes").otherwise("no").alias("yes_no")
+
     truth = t.labels.select(F.col("doc_id").alias("country"), "quality", "toxic", labels)
-    truth = truth.filter((F.col("label") != "carbon_pricing") | (F.col("toxic") == 0)).select(
-        "country", "label", F.when(F.col("quality") == 1, "yes").otherwise("no").alias("yes_no")
+    truth = truth.select(
+        "country", "label", answer((F.col("quality") == 1) & ((F.col("label") != "carbon_pricing") | (F.col("toxic") == 0)))
+    )
+    found = F.contains(F.lower("text"), F.lit("the "))
+    predictions = t.documents.select(F.col("doc_id").alias("country"), "lang", found.alias("found"), labels).select(
+        "country", "label", answer(F.col("found") & ((F.col("label") != "sector_targets") | (F.col("lang") == "en")))
     )
-    answer = F.when(F.contains(F.lower("text"), F.lit("the ")), "yes").otherwise("no")
-    predictions = t.documents.filter("lang <> 'fr'").select(F.col("doc_id").alias("country"), "lang", answer.alias("yes_no"), labels)
-    predictions = predictions.filter((F.col("label") != "sector_targets") | (F.col("lang") == "en"))
     rounded = [(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("precision", "recall", "f1")]
-    return V.evaluate(truth, predictions.select("country", "label", "yes_no")).select(
+    return V.evaluate(truth, predictions).select(
         "level", "label", "country", "tp", "fp", "fn", *rounded
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from evidenza.functions.encoders import HashingEncoder, encode_column
 from evidenza.functions.sentences import sentences
 from evidenza.functions.vectors import cosine, l2_normalize
+from evidenza.operators import boundaries as B
 from evidenza.operators import embed as E
 from evidenza.operators import retrieve as R
 from evidenza.operators.ingest import country_name, valid_sections
@@ -282,6 +283,26 @@ def top1_evidence(t: Tables):
     return best.select("country", "question_id", "vec_id", "score")
 
 
+@query(
+    "tiled_evidence",
+    """
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+scored AS (
+  SELECT c.label AS country, q.vec_id AS question_id, c.vec_id,
+         round(list_dot_product(c.v, q.v) / (sqrt(list_dot_product(c.v, c.v)) * sqrt(list_dot_product(q.v, q.v))), 9) AS score
+  FROM v AS c CROSS JOIN v AS q)
+SELECT country, question_id, max(score) + 0.0 AS score FROM scored GROUP BY country, question_id
+""",
+)
+def tiled_evidence(t: Tables):
+    """Every vector asks for its best match in each country: more questions than one tile holds."""
+    questions = t.embeddings.select(F.col("vec_id").alias("question_id"), "embedding")
+    candidates = t.embeddings.withColumnRenamed("label", "country")
+    best = R.best_evidence(candidates, questions, order=["vec_id"], question_tiles=5, candidate_tiles=4)
+    return best.select("country", "question_id", "score")
+
+
 # --- words ------------------------------------------------------------------
 
 STOP_LIST = ", ".join(f"'{w}'" for w in E.STOP_WORDS)
@@ -433,19 +454,19 @@ def _benchmark_questions(t: Tables):
     )
 
 
-def _document_evidence(t: Tables, k: int = 1):
-    chunked = R.chunk_rows(
-        t.documents.select("doc_id", "source", "text"), ["source", "doc_id"], text="text"
-    ).withColumnRenamed("source", "country")
-    return R.best_evidence(
+def _document_evidence(t: Tables, k: int = 1, texts: bool = True):
+    sections = t.documents.select("doc_id", F.col("source").alias("country"), "text")
+    key = ["country", "doc_id"]
+    chunked = R.chunk_rows(sections, key, text="text").withColumn("chunk_key", F.xxhash64("chunk"))
+    winners = R.best_evidence(
         chunked,
         _benchmark_questions(t),
-        order=["doc_id", "chunk_idx"],
-        carry=["chunk"],
+        order=["doc_id", "chunk_idx", "chunk_key"],
         text="chunk",
         encoder_factory=CountEncoder,
         k=k,
     )
+    return R.evidence_chunks(winners, sections, key, text="text") if texts else winners
 
 
 @query(
@@ -468,7 +489,7 @@ FROM ranked WHERE rn <= 3
 """,
 )
 def document_evidence_top3(t: Tables):
-    return _document_evidence(t, k=3).select(
+    return _document_evidence(t, k=3, texts=False).select(
         "country", "question_id", F.col("rank").alias("place"), "doc_id", "chunk_idx", "score"
     )
 
@@ -579,3 +600,51 @@ def report_fallback(t: Tables):
     return reports.select(
         "country", F.length("report").cast("bigint").alias("n_chars"), F.md5("report").alias("report_md5")
     )
+
+
+# --- learned boundaries -------------------------------------------------------
+
+ABBREVIATIONS = r"""
+WITH tokens AS (
+  SELECT unnest(regexp_extract_all(lower(text), '\p{L}+(?:\.\p{L}+)*\.?')) AS token FROM documents),
+types AS (
+  SELECT rtrim(token, '.') AS word, count(*) AS n, count(*) FILTER (ends_with(token, '.')) AS n_stopped FROM tokens GROUP BY 1),
+rated AS (SELECT *, (SELECT CAST(sum(n_stopped) AS DOUBLE) / sum(n) FROM types) AS rate FROM types WHERE n_stopped > 0),
+shaped AS (
+  SELECT *, length(word) - length(replace(word, '.', '')) AS inside, length(replace(word, '.', '')) AS letters,
+    n_stopped * ln(rate) + (n - n_stopped) * ln(1 - rate) AS chance,
+    n_stopped * ln(0.99::DOUBLE) + (n - n_stopped) * ln(1 - 0.99::DOUBLE) AS always
+  FROM rated),
+scores AS (
+  SELECT word, n, n_stopped, -2 * (chance - always) * exp(-letters::DOUBLE) * (inside + 1) * pow(letters::DOUBLE, (n_stopped - n)::DOUBLE) AS score
+  FROM shaped)
+"""
+
+
+@query("abbreviation_scores", ABBREVIATIONS + "SELECT word, n, n_stopped, round(score, 6) + 0.0 AS score FROM scores")
+def abbreviation_scores(t: Tables):
+    return B.abbreviation_scores(t.documents).select("word", "n", "n_stopped", (F.round("score", 6) + F.lit(0.0)).alias("score"))
+
+
+@query(
+    "learned_sentences",
+    ABBREVIATIONS
+    + r"""
+, pieces AS (
+  SELECT doc_id, string_split(regexp_replace(trim(text, E' \t\r\n'), '([.!?])[ \t\r\n]+', '\1' || chr(1), 'g'), chr(1)) AS ps
+  FROM documents WHERE text IS NOT NULL),
+rows AS (
+  SELECT doc_id, unnest(ps) AS piece, unnest(range(len(ps))) AS pos FROM (
+    SELECT doc_id, list_filter(ps, lambda p: p <> '') AS ps FROM pieces)),
+marked AS (
+  SELECT *, regexp_extract(lower(piece), '(\p{L}+(?:\.\p{L}+)*)\.$', 1) IN (SELECT word FROM scores WHERE score >= 0.3) AS goes_on FROM rows),
+numbered AS (
+  SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY pos) AS number FROM (
+    SELECT *, CASE WHEN lag(goes_on) OVER (PARTITION BY doc_id ORDER BY pos) THEN 0 ELSE 1 END AS begins FROM marked)),
+sentences AS (SELECT doc_id, number, string_agg(piece, ' ' ORDER BY pos) AS sentence FROM numbered GROUP BY doc_id, number)
+SELECT doc_id, CAST(number - 1 AS INTEGER) AS sentence_idx, md5(sentence) AS sentence_md5 FROM sentences
+""",
+)
+def learned_sentences(t: Tables):
+    found = B.sentence_rows(t.documents, ["doc_id"], B.abbreviations(t.documents))
+    return found.select("doc_id", "sentence_idx", F.md5("sentence").alias("sentence_md5"))

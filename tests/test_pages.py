@@ -113,3 +113,18 @@ def test_bad_entities_do_not_end_the_job(spark):
     text = "&#9999999; &#xD800; &#0; &#128; &#x80; &#99999999999999999999999; &#233; &#xe9; &#; &amp;lt;"
     row = spark.createDataFrame([(text,)], "t string").select(decode_entities(F.col("t")).alias("t")).first()
     assert row.t == "\ufffd \ufffd \ufffd \u20ac \u20ac \ufffd \xe9 \xe9 &#; &lt;"
+
+
+def test_names_in_awkward_markup(spark):
+    from pyspark.sql import functions as F
+
+    from evidenza.operators import pages as P
+
+    cases = [
+        ('<h1 title="a>b">Chile</h1>', "Chile"), ("<h1 title='x > y' id=z>Peru</h1><title>t</title>", "Peru"), ("<h1>Chad<p>text</p>more", "Chad"),
+        ("<h1>Mali", "Mali"), ("<h1></h1><title>Cuba | tracker</title>", "Cuba"), ("<h1 title=it's>Oman</h1>", "Oman"),
+        ("<h1x>no</h1x><title>Fiji</title>", "Fiji"), ("<H1\nclass=a>Togo</H1 >", "Togo"),
+        (None, None), ("", None),
+    ]
+    found = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(cases)], "i int, html string").select("i", P.page_name(F.col("html")).alias("n"))
+    assert {r.i: r.n for r in found.collect()} == {i: n for i, (_, n) in enumerate(cases)}

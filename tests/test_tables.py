@@ -190,8 +190,13 @@ def brute_force(rows, questions, k):
     return best
 
 
-@pytest.mark.parametrize("k, block", [(1, 512), (3, 512), (2, 2)])
-def test_best_evidence_equals_brute_force(spark, k, block):
+TILES = {"question_tiles": 3, "candidate_tiles": 2}
+
+
+@pytest.mark.parametrize(
+    "k, block, tiles", [(1, 512, {}), (3, 512, {}), (2, 2, {}), (1, 512, TILES), (3, 1, TILES), (2, 512, {"max_question_bytes": 300})]
+)
+def test_best_evidence_equals_brute_force(spark, k, block, tiles):
     rng = np.random.default_rng(5)
     # one group holds most rows, vectors repeat (ties), some are zero or missing
     base = rng.integers(-2, 3, size=(40, 6)).astype(float)
@@ -201,7 +206,7 @@ def test_best_evidence_equals_brute_force(spark, k, block):
     qdf = spark.createDataFrame(questions, "question_id int, embedding array<float>")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
     try:
-        found = R.best_evidence(df, qdf, k=k, question_block=block).collect()
+        found = R.best_evidence(df, qdf, k=k, question_block=block, **tiles).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
     got = {(r.country, r.question_id, r["rank"]): (r.chunk_idx, round(r.score, 6)) for r in found}
@@ -292,8 +297,27 @@ def test_candidates_are_encoded_once_for_any_number_of_questions(spark):
     questions = spark.createDataFrame([(q, HashingEncoder().encode_batch([f"text {q}"])[0].tolist()) for q in range(7)], "question_id int, embedding array<float>")
     found = R.best_evidence(rows, questions, vector=None, text="t", encoder_factory=Counted, question_block=2).collect()
     assert len(found) == 21 and calls.value == 60
-    with pytest.raises(ValueError, match="bytes"):
-        R.best_evidence(rows, questions, vector=None, text="t", encoder_factory=Counted, max_question_bytes=1000)
+    calls = spark.sparkContext.accumulator(0)
+    tiled = R.best_evidence(rows, questions, vector=None, text="t", encoder_factory=Counted, question_tiles=3, candidate_tiles=2)
+    assert calls.value == 0  # nothing runs while the plan is built
+    assert sorted(map(tuple, tiled.collect())) == sorted(map(tuple, found))
+
+
+def test_no_chunk_text_is_moved_before_the_winners_are_known(spark):
+    from evidenza.plans.evidence import find_evidence, question_table
+
+    countries = spark.createDataFrame([("a", "http://a")], "doc_id string, country_url string")
+    rows = [("a", "u1", "t", "One fact. Two facts. Three. Four net zero facts. Five."), ("a", None, "t", "Net zero by 2050."),
+            ("a", "u1", "t", "Another text under the same address. More of it."), ("a", "u1", "t", "Net zero by 2050."), ("a", "u1", "t", "Net zero by 2050.")]
+    sections = spark.createDataFrame(rows, "country_doc_id string, section_url string, section_title string, text_content string")
+    found = find_evidence(sections, countries, question_table(spark), k=2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window ["):]
+    scorer = [line for line in window.splitlines() if "MapInArrow" in line]
+    assert scorer and all("chunk#" not in line.split("], ")[0].replace("chunk_", "") for line in scorer)
+    got = found.collect()
+    assert len(got) == 10 and all(r.chunk for r in got)
+    assert len({(r.question_id, r["rank"]) for r in got}) == 10
 
 
 def test_encoder_gives_null_for_null(spark):
