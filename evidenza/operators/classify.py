@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evidenza.functions.lexicon import Lexicon, Term, terms
 from evidenza.functions.text import capitalize, drop_first, fixed, label_title, let, number_text, strip
 from evidenza.functions.vectors import cosine
 
@@ -54,6 +55,27 @@ FLAG_PATTERNS = {
 # Web addresses hold words that say nothing about the text around them.
 IGNORED_IN_FLAGS = {"efficiency": r"https?://\S+"}
 
+# The same words as terms, which one scan finds together.
+LEXICON = Lexicon((
+    *terms("target", ("net zero", "carbon neutrality")),
+    *terms("sector", (
+        "electricity", "power", "transport", "mobility", "industry", "industrial", "agriculture", "agricultural",
+        "lulucf", "energy", "sectoral targets",
+    ), whole=True),
+    *terms("policy", ("strategy", "framework", "law", "policy", "act")),
+    *terms("efficiency", (
+        "efficiency", "efficiencies", "energy", "energies", "saving", "savings", "reduce", "reduces", "reduced", "reducing",
+    ), whole=True, ignore_case=False, outside_links=True),
+    *terms("measure", ("target", "goal", "objective", "reduce emissions by", "save energy", "%", "percent"), whole=True),
+    *terms("net_zero", ("net zero",)),
+    *terms("scenario", ("scenario",)),
+    *terms("grid", ("electricity", "power", "grid", "renewable energy")),
+    *terms("pricing", ("carbon tax", "carbon pricing", "carbon trading", "carbon ets", "carbon market")),
+    *terms("negation", ("not", "never"), whole=True),
+    Term("n't", ("negation",), ends=True),
+    Term("n’t", ("negation",), ends=True),
+))
+
 NEGATION_PATTERN = r"(?iU)\b(not|never)\b|n['’]t\b"
 NEGATION_NOTE = " (Note: negation present in sentence, which may weaken the claim.)"
 
@@ -175,32 +197,51 @@ def _first_match(label: Column, flags: Mapping[str, Column], rules: Sequence[Rul
 def tag_answers(
     answers: DataFrame,
     text: str = "answer_text",
-    flag_patterns: Mapping[str, str] = FLAG_PATTERNS,
+    flag_patterns: Mapping[str, str] | None = None,
     ignored: Mapping[str, str] = IGNORED_IN_FLAGS,
     year_patterns: Sequence[str] = YEAR_PATTERNS,
     year_phrases: Mapping[str, str] = YEAR_PHRASES,
-    term_pattern: str = SECTOR_PATTERN,
-    negation_pattern: str = NEGATION_PATTERN,
+    term_pattern: str | None = None,
+    negation_pattern: str | None = None,
     policy_entity: str | None = None,
+    lexicon: Lexicon | None = LEXICON,
 ) -> DataFrame:
     """Append what the rules need to know of each text: ``flags`` (a struct of
     booleans), ``negated``, ``year``, ``sectors`` and ``quote``.
 
+    One scan of the text finds all terms of the ``lexicon``: its marks are the flags, but ``sector``
+    also lists the terms and ``negation`` is the negation.  A pattern that is given takes the place of the
+    lexicon's marks (``flag_patterns`` of the same names, ``term_pattern``, ``negation_pattern``).
     A text that answers several questions is best tagged before it is repeated
     per label, without its text.
     """
     content = F.col(text)
+    given = dict(flag_patterns or {})
     entity = F.col(policy_entity) if policy_entity else None
-    flags = flag_terms(content, flag_patterns, ignored, entity)
-    return answers.withColumns(
+    if lexicon is None and not (given and term_pattern and negation_pattern):
+        raise ValueError("without a lexicon all patterns must be given")
+    names = [] if lexicon is None else dict.fromkeys(m for t in lexicon.terms for m in t.marks)
+    if lexicon is not None:
+        answers = answers.withColumn("_mask", lexicon.mask(content))
+    mask = F.col("_mask")
+    flags = {n: lexicon.marked(mask, n) for n in names if n != "negation" and n not in given}
+    flags |= flag_terms(content, given, {n: p for n, p in ignored.items() if n in given})
+    if entity is not None:
+        flags["policy"] = flags["policy"] | F.coalesce(entity, F.lit(False))
+    if term_pattern is not None:
+        sectors = extract_terms(content, term_pattern)
+    else:
+        sectors = _sorted_or_null(F.transform(lexicon.listed(mask, "sector"), capitalize))
+    tagged = answers.withColumns(
         {
             "flags": F.struct(*[c.alias(n) for n, c in flags.items()]),
-            "negated": negated(content, negation_pattern),
+            "negated": negated(content, negation_pattern) if negation_pattern else lexicon.marked(mask, "negation"),
             "year": extract_years(content, year_patterns, year_phrases),
-            "sectors": extract_terms(content, term_pattern),
+            "sectors": sectors,
             "quote": F.left(content, F.lit(QUOTE_CHARS)),
         }
     )
+    return tagged.drop("_mask")
 
 
 def apply_rules(

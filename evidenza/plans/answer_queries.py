@@ -7,6 +7,8 @@ from evidenza.operators import classify as C
 from evidenza.operators import evaluate as V
 from evidenza.operators.embed import masked_mean_pool
 from evidenza.plans.catalog import Tables, query
+from evidenza.functions.lexicon import Lexicon, terms
+from evidenza.functions.text import capitalize
 from evidenza.plans.text_queries import REPORTS, SCORES, _masked, _reports
 from evidenza.schemas import PREDICTION
 from evidenza.sources.readers import explode_nested
@@ -19,8 +21,17 @@ FLAGS = {
     "article": "(?iu)the ",
     "licence": "(?iu)licen[sc]e",
     "number": "[0-9]{3}",
-    "mail": r"[^ \t\r\n]+@[^ \t\r\n]+",
+    # one character on either side tells as much as all of them
+    "mail": r"[^ \t\r\n]@[^ \t\r\n]",
 }
+PATTERNS = {n: FLAGS[n] for n in ("number", "mail")}
+WORDS_FOUND = ("the", "und", "der", "les", "license", "licence", "copyright", "mail", "para")
+LEXICON = Lexicon((
+    *terms("article", ("the ",)),
+    *terms("licence", ("license", "licence")),
+    *terms("sector", WORDS_FOUND, whole=True),
+    *terms("negation", ("nicht", "non")),
+))
 IGNORED = {"number": r"https?://[^ \t\r\n]+"}
 NEGATION = "(?iu)nicht|non"
 RULES = (
@@ -96,12 +107,11 @@ def _predictions(t: Tables):
     )
     tagged = C.tag_answers(
         documents,
-        flag_patterns=FLAGS,
+        flag_patterns=PATTERNS,
         ignored=IGNORED,
         year_patterns=YEARS,
         year_phrases={},
-        term_pattern=TERMS,
-        negation_pattern=NEGATION,
+        lexicon=LEXICON,
     ).drop("answer_text")
     asked = tagged.withColumn("label", F.explode(F.array(*[F.lit(x) for x in C.LABELS])))
     return C.apply_rules(asked, rules=RULES)
@@ -188,6 +198,20 @@ def flag_terms(t: Tables):
     return t.documents.select("doc_id", "text").select("doc_id", *[c.alias(n) for n, c in flags.items()])
 
 
+@query(
+    "lexicon_scan",
+    rf"""
+SELECT doc_id, contains(lower(text), 'the ') AS article, regexp_matches(text, '(?i)licen[sc]e') AS licence,
+       regexp_matches(text, '(?i)nicht|non') AS negated, array_to_string({TERMS_SQL}, ',') AS terms FROM documents
+""",
+)
+def lexicon_scan(t: Tables):
+    found = t.documents.select("doc_id", LEXICON.mask(F.col("text")).alias("mask"))
+    listed = F.array_sort(F.transform(LEXICON.listed(F.col("mask"), "sector"), capitalize))
+    marks = [LEXICON.marked(F.col("mask"), m).alias(n) for m, n in (("article", "article"), ("licence", "licence"), ("negation", "negated"))]
+    return found.select("doc_id", *marks, F.array_join(F.nullif(listed, F.array().cast("array<string>")), ",").alias("terms"))
+
+
 @query("quote_prefix", "SELECT doc_id, left(text, 300) AS quote FROM documents")
 def quote_prefix(t: Tables):
     return t.documents.select("doc_id", F.left("text", F.lit(C.QUOTE_CHARS)).alias("quote"))

@@ -6,7 +6,7 @@ from evidenza.functions.encoders import encode_column
 from evidenza.operators import classify as C
 from evidenza.operators import evaluate as V
 from evidenza.plans import evidence as plan
-from evidenza.plans.answer_queries import FLAGS, IGNORED, NEGATION, PREDICTIONS, RULES, TAGGED, TERMS, YEARS
+from evidenza.plans.answer_queries import IGNORED, LEXICON, PATTERNS, PREDICTIONS, RULES, TAGGED, YEARS
 from evidenza.plans.catalog import Tables, query
 from evidenza.plans.text_queries import BEST_CHUNKS, CountEncoder, buckets_sql
 
@@ -102,8 +102,8 @@ FROM predictions
 def pipeline_predictions(t: Tables):
     questions = _questions(t)
     found = plan.predict(
-        _evidence(t), questions, CountEncoder, rules=RULES, threshold=THRESHOLD, flag_patterns=FLAGS, ignored=IGNORED,
-        year_patterns=YEARS, year_phrases={}, term_pattern=TERMS, negation_pattern=NEGATION,
+        _evidence(t), questions, CountEncoder, rules=RULES, threshold=THRESHOLD, flag_patterns=PATTERNS, ignored=IGNORED,
+        year_patterns=YEARS, year_phrases={}, lexicon=LEXICON,
     )
     return found.select(
         "country", "question_id", "label", "yes_no", "explanation", F.array_join("year", ",").alias("years"),
