@@ -59,7 +59,13 @@ def _fold_char(char: str) -> str:
 
 def fold(text: str) -> str:
     """The text for comparison without case, as long as it was."""
-    return text.lower() if text.isascii() else "".join(map(_fold_char, text))
+    if text.isascii():
+        return text.lower()
+    odd = [c for c in set(text) if not c.isascii()]
+    # a capital sigma is lowered by its place in the word
+    if "Σ" not in odd and all(_fold_char(c) == c.lower() for c in odd):
+        return text.lower()
+    return "".join(map(_fold_char, text))
 
 
 @dataclass(frozen=True)
