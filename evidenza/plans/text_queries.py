@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from evidenza.functions.encoders import HashingEncoder, encode_column
 from evidenza.functions.sentences import sentences
 from evidenza.functions.vectors import cosine, l2_normalize
+from evidenza.functions.wordpiece import CONTINUED, MAX_WORD_CHARS, UNKNOWN, WORD
 from evidenza.operators import boundaries as B
 from evidenza.operators import embed as E
 from evidenza.operators import retrieve as R
+from evidenza.operators import tokens as T
 from evidenza.operators.ingest import country_name, valid_sections
 from evidenza.plans.catalog import Tables, query
 
@@ -648,3 +650,95 @@ SELECT doc_id, CAST(number - 1 AS INTEGER) AS sentence_idx, md5(sentence) AS sen
 def learned_sentences(t: Tables):
     found = B.sentence_rows(t.documents, ["doc_id"], B.abbreviations(t.documents))
     return found.select("doc_id", "sentence_idx", F.md5("sentence").alias("sentence_md5"))
+
+
+# --- WordPiece tokens ---------------------------------------------------------
+
+WINDOW_TOKENS = 24
+
+
+def _pieces(t: Tables) -> list[str]:
+    """A small vocabulary by rule: words of the benchmark whole, their starts, and their ends as later pieces."""
+    words = t.benchmark.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("w"))
+    lengths = F.explode(F.array(*[F.lit(n) for n in (1, 2, 3)]))
+    parts = words.distinct().withColumn("n", lengths)
+    rows = F.explode(F.array("w", F.expr("left(w, n)"), F.concat(F.lit(CONTINUED), F.expr("right(w, n)"))))
+    return T.vocabulary_pieces(parts.select(rows.alias("piece")))
+
+
+#: Tokens of each distinct word: the longest piece at every place, then a walk from place to place.
+WORD_PIECES = rf"""
+WITH RECURSIVE source_words AS (
+  SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM benchmark),
+parts AS (SELECT w, unnest([1, 2, 3]) AS n FROM source_words),
+pieces AS (
+  SELECT w AS piece, false AS later FROM parts UNION SELECT left(w, n), false FROM parts UNION SELECT right(w, n), true FROM parts),
+longest AS (SELECT max(length(piece)) AS m FROM pieces),
+occurring AS (
+  SELECT doc_id, unnest(ws) AS raw, unnest(range(len(ws))) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '{WORD.replace("'", "''")}') AS ws FROM documents)),
+words AS (SELECT raw, lower(strip_accents(raw)) AS word FROM (SELECT DISTINCT raw FROM occurring)),
+places AS (
+  SELECT DISTINCT word, unnest(range(length(word))) AS start FROM words WHERE length(word) BETWEEN 1 AND {MAX_WORD_CHARS}),
+spans AS (
+  SELECT word, start, unnest(range(1, least(length(word) - start, m) + 1)) AS size FROM places CROSS JOIN longest),
+best AS (
+  SELECT word, start, max(size) AS size FROM spans JOIN pieces
+  ON piece = substr(word, CAST(start AS INTEGER) + 1, CAST(size AS INTEGER)) AND later = (start > 0) GROUP BY word, start),
+walk AS (
+  SELECT DISTINCT word, CAST(0 AS BIGINT) AS place, CAST([] AS VARCHAR[]) AS found FROM words
+  UNION ALL
+  SELECT walk.word, walk.place + size,
+         list_append(found, CASE WHEN walk.place > 0 THEN '{CONTINUED}' ELSE '' END || substr(walk.word, CAST(walk.place AS INTEGER) + 1, CAST(size AS INTEGER)))
+  FROM walk JOIN best ON best.word = walk.word AND best.start = walk.place),
+covered AS (SELECT word, found FROM walk WHERE place = length(word)),
+matched AS (SELECT raw, coalesce(found, ['{UNKNOWN}']) AS found FROM words LEFT JOIN covered ON covered.word = words.word),
+tokens AS (SELECT doc_id, pos, found, len(found) AS n FROM occurring JOIN matched USING (raw) WHERE len(found) > 0)
+"""
+
+
+@query(
+    "wordpiece_tokens",
+    WORD_PIECES
+    + f"""
+SELECT d.doc_id, coalesce(n_tokens, 0) AS n_tokens, coalesce(n_unknown, 0) AS n_unknown, coalesce(tokens_md5, md5('')) AS tokens_md5
+FROM documents d LEFT JOIN (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_tokens, count(*) FILTER (found = ['{UNKNOWN}']) AS n_unknown,
+         md5(string_agg(array_to_string(found, ' '), ' ' ORDER BY pos)) AS tokens_md5
+  FROM tokens GROUP BY doc_id) USING (doc_id)
+WHERE d.text IS NOT NULL
+""",
+)
+def wordpiece_tokens(t: Tables):
+    found = t.documents.where("text IS NOT NULL").select("doc_id", T.token_column(F.col("text"), _pieces(t)).alias("found"))
+    return found.select(
+        "doc_id",
+        F.size("found").cast("bigint").alias("n_tokens"),
+        F.size(F.filter("found", lambda x: x == UNKNOWN)).cast("bigint").alias("n_unknown"),
+        F.md5(F.array_join("found", " ")).alias("tokens_md5"),
+    )
+
+
+@query(
+    "token_windows",
+    WORD_PIECES
+    + f""",
+counted AS (
+  SELECT doc_id, n, row_number() OVER w AS i, CAST(sum(n) OVER w AS BIGINT) AS upto FROM tokens
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+ends AS (
+  SELECT c.doc_id, c.i, greatest(c.i, coalesce(max(e.i), c.i)) AS last FROM counted c
+  LEFT JOIN counted e ON e.doc_id = c.doc_id AND e.i BETWEEN c.i AND c.i + {WINDOW_TOKENS} AND e.upto - c.upto + c.n <= {WINDOW_TOKENS}
+  GROUP BY c.doc_id, c.i),
+chain AS (
+  SELECT doc_id, 0 AS window_no, i, last FROM ends WHERE i = 1
+  UNION ALL
+  SELECT ends.doc_id, window_no + 1, ends.i, ends.last FROM chain JOIN ends ON ends.doc_id = chain.doc_id AND ends.i = chain.last + 1)
+SELECT chain.doc_id, window_no, count(*) AS n_words, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM chain JOIN counted ON counted.doc_id = chain.doc_id AND counted.i BETWEEN chain.i AND chain.last
+GROUP BY chain.doc_id, window_no
+""",
+)
+def token_windows(t: Tables):
+    rows = T.window_rows(t.documents, ["doc_id"], _pieces(t), max_tokens=WINDOW_TOKENS)
+    return rows.select("doc_id", "window_no", "n_words", "n_tokens")
