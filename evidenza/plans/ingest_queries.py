@@ -395,27 +395,8 @@ def section_upsert(t: Tables):
     )
 
 
-@query(
-    "change_classify",
-    """
-WITH batch AS (
-  SELECT d.doc_id, CASE WHEN l.quality = 0 THEN upper(d.lang) ELSE d.lang END AS lang, d.n_chars + l.toxic AS n_chars,
-         d.source, 1 AS version FROM documents d JOIN labels l USING (doc_id)
-  UNION ALL SELECT -1 - item_id, 'en', length(text), CAST(NULL AS VARCHAR), 1 FROM benchmark
-  UNION ALL SELECT doc_id, 'xx', -1, 'older', 0 FROM labels),
-incoming AS (
-  SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY version DESC) = 1),
-compared AS (
-  SELECT i.doc_id, CASE WHEN d.doc_id IS NULL THEN 'insert' ELSE 'update' END AS action,
-         CASE WHEN d.doc_id IS NOT NULL THEN array_to_string(list_filter([
-           CASE WHEN i.lang IS DISTINCT FROM d.lang THEN 'lang' END,
-           CASE WHEN i.n_chars IS DISTINCT FROM d.n_chars THEN 'n_chars' END,
-           CASE WHEN i.source IS DISTINCT FROM d.source THEN 'source' END], lambda c: c IS NOT NULL), ',') END AS changed
-  FROM incoming i LEFT JOIN documents d ON d.doc_id = i.doc_id)
-SELECT doc_id, action, changed FROM compared WHERE action = 'insert' OR changed <> ''
-""",
-)
-def change_classify(t: Tables):
+def change_batches(t: Tables):
+    """Stored rows, rows that come in, and the columns to compare."""
     existing = t.documents.select("doc_id", "lang", "n_chars", "source").withColumn("scraped_at", F.lit(0))
     crawled = existing.join(t.labels, "doc_id").select(
         "doc_id",
@@ -437,6 +418,31 @@ def change_classify(t: Tables):
         F.lit(0).alias("scraped_at"),
     )
     incoming = stale.unionByName(crawled).unionByName(added)
+    return existing, incoming, columns
+
+
+@query(
+    "change_classify",
+    """
+WITH batch AS (
+  SELECT d.doc_id, CASE WHEN l.quality = 0 THEN upper(d.lang) ELSE d.lang END AS lang, d.n_chars + l.toxic AS n_chars,
+         d.source, 1 AS version FROM documents d JOIN labels l USING (doc_id)
+  UNION ALL SELECT -1 - item_id, 'en', length(text), CAST(NULL AS VARCHAR), 1 FROM benchmark
+  UNION ALL SELECT doc_id, 'xx', -1, 'older', 0 FROM labels),
+incoming AS (
+  SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY version DESC) = 1),
+compared AS (
+  SELECT i.doc_id, CASE WHEN d.doc_id IS NULL THEN 'insert' ELSE 'update' END AS action,
+         CASE WHEN d.doc_id IS NOT NULL THEN array_to_string(list_filter([
+           CASE WHEN i.lang IS DISTINCT FROM d.lang THEN 'lang' END,
+           CASE WHEN i.n_chars IS DISTINCT FROM d.n_chars THEN 'n_chars' END,
+           CASE WHEN i.source IS DISTINCT FROM d.source THEN 'source' END], lambda c: c IS NOT NULL), ',') END AS changed
+  FROM incoming i LEFT JOIN documents d ON d.doc_id = i.doc_id)
+SELECT doc_id, action, changed FROM compared WHERE action = 'insert' OR changed <> ''
+""",
+)
+def change_classify(t: Tables):
+    existing, incoming, columns = change_batches(t)
     found = I.classify_changes(existing, incoming, ["doc_id"], columns, order=[F.col("scraped_at").desc()])
     return found.select("doc_id", "action", F.array_join("changed", ",").alias("changed"))
 
