@@ -1,8 +1,10 @@
 """Inserts, upserts, vectors and retrieval, with skewed and failing inputs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import Word2VecModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from evidenza.functions.encoders import HashingEncoder, encode_column, encode_rows
@@ -172,6 +174,38 @@ def test_word_vectors(spark, tmp_path):
     assert Word2VecModel.load(path).getVectors().count() == 4
 
 
+def test_word_vectors_move_once_per_block(spark):
+    """Blocks change no mean; repeated keys, null keys and repeated words keep their meaning."""
+    rng = np.random.default_rng(5)
+    words = [f"w{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(100)]
+    rows = [(i % 37, f"k{i % 3}", [words[j] for j in rng.integers(0, 100, int(rng.integers(0, 90)))] + ["unknown"]) for i in range(150)]
+    rows += [(None, "k0", ["waa"]), (500, "k1", None), (501, "k1", []), (502, "k2", ["unknown", "unknown"])]
+    tokens = spark.createDataFrame(rows, "id int, kind string, tokens array<string>")
+    values = [(w, [float(x) for x in rng.integers(-9, 9, 3)]) for w in words] + [("waa", [1.0, 2.0, 3.0])]
+    table = spark.createDataFrame(values, "word string, v array<double>").select("word", array_to_vector("v").alias("vector"))
+    expected = {}
+    for i, kind, found in rows:
+        own = expected.setdefault((i, kind), [])
+        own += [v for w in found or () if i is not None for x, v in values if x == w]
+    for block_rows in (8192, 10):
+        got = {(r.id, r.kind): r for r in E.word_vector_documents(tokens, table, ["id", "kind"], block_rows=block_rows).collect()}
+        assert got.keys() == expected.keys()
+        for at, own in expected.items():
+            assert got[at].n_words == len(own)
+            assert np.allclose(got[at].document_vector, np.mean(own, axis=0)) if own else got[at].document_vector is None
+    batch = pa.RecordBatch.from_pydict({"b": [0, 1, 0], "t": [["x", "y", "x"], ["x"], ["y", "z"]]})
+    asked = [(r["b"], r["word"]) for part in E._block_words("b", "t")(iter([batch, batch])) for r in part.to_pylist()]
+    assert sorted(asked) == [(0, "x"), (0, "y"), (0, "z"), (1, "x")]
+
+
+def test_words_are_found_once_per_text(spark):
+    df = spark.createDataFrame([("Green energy--policy, the l'accord's end",), ("",), (None,)], "text string")
+    rows = E.word_rows(df.select(E.word_tokens(F.col("text")).alias("tokens")))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert sorted(r.word for r in rows.collect()) == ["end", "energy", "green", "policy"]
+
+
 # --- retrieval --------------------------------------------------------------
 
 
