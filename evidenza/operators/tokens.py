@@ -7,8 +7,11 @@ any model's vocabulary is refused, as it cannot be one.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +38,8 @@ def token_column(text: Column, pieces: Sequence[str]) -> Column:
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = WordPiece(pieces)
         for batch in batches:
-            found = [None if t is None else tokenizer.tokens(t) for t in batch.to_pylist()]
-            yield pa.array(found, pa.list_(pa.string()))
+            parts = [pa.array([tokenizer.tokens(t.as_py()) if t.is_valid else None], pa.list_(pa.string())) for t in batch]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
 
     tokens.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(tokens, "array<string>")(text)
@@ -50,11 +53,17 @@ def window_column(text: Column, pieces: Sequence[str], max_tokens: int = MAX_TOK
     def windows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = WordPiece(pieces)
         for batch in batches:
-            found = [
-                None if t is None else [dict(zip(names, w, strict=True)) for w in tokenizer.windows(t, max_tokens)]
-                for t in batch.to_pylist()
-            ]
-            yield pa.array(found, pa.list_(pa.struct([(n, pa.int64()) for n in names])))
+            # one text and flat numbers at a time: whole batches as Python objects take ten times the room
+            values, sizes = array("q"), array("q")
+            for text in batch:
+                found = tokenizer.windows(text.as_py(), max_tokens) if text.is_valid else ()
+                values.extend(chain.from_iterable(found))
+                sizes.append(len(found))
+            cells = np.frombuffer(values, np.int64).reshape(-1, len(names))
+            structs = pa.StructArray.from_arrays([pa.array(cells[:, i]) for i in range(len(names))], names)
+            ends = np.r_[0, np.cumsum(np.frombuffer(sizes, np.int64))].astype(np.int32)
+            null = np.r_[batch.is_null().to_numpy(zero_copy_only=False), False]
+            yield pa.ListArray.from_arrays(pa.array(ends, mask=null), structs)
 
     windows.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     kind = f"array<struct<{', '.join(f'{n}: bigint' for n in names)}>>"
@@ -64,9 +73,14 @@ def window_column(text: Column, pieces: Sequence[str], max_tokens: int = MAX_TOK
 def window_rows(
     texts: DataFrame, key: Sequence[str], pieces: Sequence[str], text: str = "text", max_tokens: int = MAX_TOKENS
 ) -> DataFrame:
-    """``(*key, window_no, start, stop, n_words, n_tokens)``: one row per window of each text."""
+    """``(*key, window_no, start, stop, n_words, n_tokens)``: one row per window of each text.
+
+    The outer form keeps Spark from testing the windows in a filter of its own, which would
+    read every text twice, in two Python workers per task.
+    """
     found = texts.select(*key, window_column(F.col(text), pieces, max_tokens).alias("_windows"))
-    return found.select(*key, F.posexplode("_windows").alias("window_no", "_w")).select(*key, "window_no", "_w.*")
+    rows = found.select(*key, F.posexplode_outer("_windows").alias("window_no", "_w")).where("window_no IS NOT NULL")
+    return rows.select(*key, "window_no", "_w.*")
 
 
 def encode_by_tokens(

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
 
 from evidenza.functions.encoders import HashingEncoder, encode_rows
@@ -113,3 +114,17 @@ def test_columns(spark):
     assert T.window_rows(empty, ["id"], pieces).count() == 0
     with pytest.raises(ValueError):
         T.vocabulary_pieces(spark.createDataFrame([("a",), ("b",)], "piece string"), limit=1)
+
+
+def test_windows_are_found_once_and_long_words_are_not_kept(spark):
+    """One Python pass, whose memory holds no word that is over the limit."""
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "the cat " * 5), (4, " \n")], "id int, text string")
+    rows = T.window_rows(df, ["id"], PIECES, max_tokens=4)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    tokenizer = WordPiece(PIECES)
+    expected = [(3, i, *w) for i, w in enumerate(tokenizer.windows("the cat " * 5, 4))]
+    assert sorted(tuple(r) for r in rows.collect()) == expected
+    long = "x" * 100_000
+    assert tokenizer.tokens(long) == [UNKNOWN] and long not in tokenizer._known
+    nulls = df.select("id", T.window_column(F.col("text"), PIECES, 4).alias("w")).collect()
+    assert {r.id: r.w and len(r.w) for r in nulls} == {1: None, 2: [], 3: len(expected), 4: []}
