@@ -61,8 +61,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @small_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, with the smallest id, of each group of near duplicates: texts whose
-    five-word shingles have a Jaccard similarity of 0.8 or more, and what these join.  Texts
-    that are not alike stay, also if they share a doc_id."""
+    five-word shingles have a Jaccard similarity of 0.8 or more, and what these join.  Blocks
+    of SimHash fingerprints find them, and bands of minima those whose fingerprints are
+    further apart.  Texts that are not alike stay, also if they share a doc_id."""
     return similar.one_of_each(docs)
 
 

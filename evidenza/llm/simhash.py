@@ -19,7 +19,7 @@ no others.  Columns besides the two named ones are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -54,20 +54,14 @@ def shingle_hashes(text: bytes, size: int = SHINGLE_WORDS) -> list[int]:
     return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[size - 1 :].tolist(), strict=True)]
 
 
-def simhash(texts: pa.Array) -> pa.Array:
-    """Signed 64-bit fingerprint per text: bits set in over half the hashes."""
-    lowered = pc.cast(pc.ascii_lower(pc.fill_null(texts, "")), pa.binary())
-    hashes, counts = [], []
-    for text in lowered:
-        found = shingle_hashes(text.as_py())
-        hashes.extend(found)
-        counts.append(len(found))
+def majority_bits(hashes: Sequence[int], counts: Sequence[int]) -> pa.Array:
+    """Signed 64-bit fingerprint per run of ``counts`` hashes: bits set in over half of them."""
     prints = np.zeros(len(counts), np.uint64)
-    if hashes:
+    if len(hashes):
         counts = np.array(counts)
         full = np.flatnonzero(counts)
         bits = np.unpackbits(
-            np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
+            np.asarray(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
         )
         first = np.cumsum(counts[full]) - counts[full]
         ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
@@ -76,6 +70,17 @@ def simhash(texts: pa.Array) -> pa.Array:
     return pa.array(prints.view(np.int64))
 
 
+def simhash(texts: pa.Array) -> pa.Array:
+    """The fingerprint of the shingles of each text, repeats included."""
+    lowered = pc.cast(pc.ascii_lower(pc.fill_null(texts, "")), pa.binary())
+    hashes, counts = [], []
+    for text in lowered:
+        found = shingle_hashes(text.as_py())
+        hashes.extend(found)
+        counts.append(len(found))
+    return majority_bits(hashes, counts)
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp)`` for every row."""
     return docs.select("doc_id", text_udf(simhash, "bigint")(F.col("text")).alias("fp"))

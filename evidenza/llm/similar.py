@@ -1,15 +1,20 @@
-"""Near duplicates by the similarity of word shingles: the pipeline's stage.
+"""Near duplicates by SimHash blocks and the similarity of word shingles: the pipeline's stage.
 
 Two texts are near duplicates if the sets of their five-word shingles have a
 Jaccard similarity of ``SIMILARITY`` or more; groups are what such links join.
-Equal sets are one node from the start.  Candidates are the nodes that share the
-minima of ``ROWS`` hash functions in one of ``BANDS`` bands, and every link is
-checked on the shingle sets themselves, so no link is wrong.  A pair of similarity s
-shares no band with probability (1 - s^4)^24: 3 in a million at 0.8, less above.
-(Blocks of a 64-bit SimHash cannot search that far: at 0.8 about ten bits differ.)
+Equal sets are one node from the start.  Candidates come from two searches, and every
+link is checked on the shingle sets themselves, so no link is wrong:
 
-Only narrow rows pass through buckets:
+* SimHash with pigeonhole blocks, as in ``simhash``: all nodes whose 64-bit fingerprints
+  over their shingles differ in at most ``MAX_DISTANCE`` bits.
+* The nodes that share the minima of ``ROWS`` hash functions in one of ``BANDS`` bands.
+  A pair of similarity s shares no band with probability (1 - s^4)^24: 3 in a million at
+  0.8, less above.  Blocks cannot search that far: at 0.8 about ten of 64 bits differ.
 
+Only narrow rows pass through blocks and buckets:
+
+* What the blocks link is joined first.  A fingerprint is one node there; other nodes that
+  have the same one are checked against the least of them.
 * In each round of ``ROUNDS`` every bucket that still holds several groups names one head,
   from its largest group, and the members outside that group are checked against it.  A
   family of near copies is joined in a round or two, with a check per member and head.
@@ -41,7 +46,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evidenza.llm.batches import text_udf
-from evidenza.llm.simhash import components, shingle_hashes
+from evidenza.llm.simhash import close_links, components, majority_bits, shingle_hashes
 from evidenza.llm.storage import written
 from evidenza.llm.urls import bloom_filter, might_contain, slots
 
@@ -101,6 +106,13 @@ def _marks_and_keys(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([_digests(sets), _keys(sets)], ["fp", "keys"])
 
 
+def _marks_prints_and_keys(texts: pa.Array) -> pa.Array:
+    """Digest, SimHash of the set, and keys."""
+    sets = _sets(texts)
+    prints = majority_bits(np.concatenate(sets), [len(s) for s in sets]) if sets else pa.array([], pa.int64())
+    return pa.StructArray.from_arrays([_digests(sets), prints, _keys(sets)], ["fp", "print", "keys"])
+
+
 def _marks_and_sets(texts: pa.Array) -> pa.Array:
     """Digest, shingles and signature; members of buckets have at least one shingle."""
     sets = _sets(texts)
@@ -245,6 +257,18 @@ def rest_pairs(
     return found.distinct().toDF("member", "head")
 
 
+def print_pairs(nodes: DataFrame) -> DataFrame:
+    """``(member, head)``: nodes of ``(fp, print, keys)`` whose fingerprints are close, as blocks link them.
+
+    A node without shingles is like no other, whatever its fingerprint.
+    """
+    rows = nodes.where(F.size("keys") > 0).select("fp", "print")
+    heads = written(rows.groupBy("print").agg(F.min("fp").alias("node")), "prints")
+    equal = rows.join(heads, "print").where("fp != node").select("fp", "node")
+    close = close_links(heads.select(F.col("print").alias("fp"), "node"))
+    return equal.union(close).toDF("member", "head")
+
+
 def _member_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(fp, shingles, signature)`` of the nodes in ``wanted``, ``(fp, low)``; a Bloom filter keeps other texts out."""
     table = bloom_filter(wanted.select(F.col("low").alias("key")))
@@ -259,15 +283,24 @@ def _member_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def similar_groups(
     docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY, tile_rows: int = TILE_ROWS,
-    rounds: tuple[int, ...] = ROUNDS,
+    rounds: tuple[int, ...] = ROUNDS, close: DataFrame | None = None,
 ) -> DataFrame:
-    """``(node, parent)``: the smallest node that each linked node of ``(fp, low, keys)`` reaches."""
+    """``(node, parent)``: the smallest node that each linked node of ``(fp, low, keys)`` reaches.
+
+    ``close`` has pairs ``(member, head)`` that another search found; they are checked first.
+    """
     keyed = nodes.select("fp", "low", F.posexplode("keys").alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least != most")
     members = written(keyed.join(shared.select("key"), "key", "left_semi"), "members")
-    sets = written(_member_sets(docs, written(members.select("fp", "low").distinct(), "wanted")), "sets")
+    wanted = members.select("fp", "low")
+    if close is not None:
+        ends = close.select(F.explode(F.array("member", "head")).alias("fp")).distinct()
+        wanted = wanted.union(nodes.select("fp", "low").join(ends, "fp", "left_semi"))
+    sets = written(_member_sets(docs, written(wanted.distinct(), "wanted")), "sets")
     members = members.select("key", "band", "fp")
     roots = written(docs.sparkSession.createDataFrame([], LINKS), "links")
+    if close is not None and not close.isEmpty():
+        roots = components(verified(close, sets, similarity))
     for turn, bands in enumerate(rounds):
         rows = _grouped(members.where(F.col("band") < bands), roots)
         pairs = written(head_pairs(rows, turn), "pairs")
@@ -281,12 +314,14 @@ def similar_groups(
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, tile_rows: int = TILE_ROWS) -> DataFrame:
     """``(doc_id, text_key, fp, root, component_id)`` for every row: a hash of its text, the digest of
     its shingles, the node that names its group, and the smallest doc_id of the group."""
-    read = text_udf(_marks_and_keys, "struct<fp: bigint, keys: array<bigint>>")
+    read = text_udf(_marks_prints_and_keys, "struct<fp: bigint, print: bigint, keys: array<bigint>>")
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), read(F.col("text")).alias("s"))
-    rows = written(rows.select("doc_id", "text_key", "s.fp", "s.keys"), "shingles")
-    nodes = rows.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("low"), F.first("keys").alias("keys"))
+    rows = written(rows.select("doc_id", "text_key", "s.fp", "s.print", "s.keys"), "shingles")
+    nodes = rows.where("doc_id IS NOT NULL").groupBy("fp").agg(
+        F.min("doc_id").alias("low"), F.first("print").alias("print"), F.first("keys").alias("keys")
+    )
     nodes = written(nodes, "nodes")
-    roots = similar_groups(docs, nodes, similarity, tile_rows)
+    roots = similar_groups(docs, nodes, similarity, tile_rows, close=written(print_pairs(nodes), "close"))
     classes = nodes.select("fp", "low").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("parent", "fp").alias("root")
     )

@@ -157,3 +157,31 @@ def test_one_row_of_each_group(request, table):
     kept = [r.doc_id for r in found.collect()]
     assert sorted(k for k in kept if k is not None) == sorted({h for (d, _), h in zip(rows, by_hand(rows), strict=True) if d is not None})
     assert kept.count(None) == sum(d is None for d, _ in rows)
+
+
+def test_blocks_of_fingerprints_find_pairs_without_the_bands(spark):
+    """The stage searches by SimHash: every pair within three bits, be it by no band, and checks it."""
+    rows = [*families(), (900, None), (901, " "), (902, "One two")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kind = "struct<fp: bigint, print: bigint, keys: array<bigint>>"
+    marks = docs.select("doc_id", similar.text_udf(similar._marks_prints_and_keys, kind)("text").alias("s"))
+    nodes = marks.groupBy("s.fp", "s.print", "s.keys").agg(F.min("doc_id").alias("low"))
+    found = {frozenset((r.member, r.head)) for r in similar.print_pairs(nodes).collect()}
+    prints = {r.fp: r["print"] & (2**64 - 1) for r in nodes.collect() if len(r["keys"])}
+    near = {frozenset((a, b)) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3}
+    assert found and found <= near
+
+    def groups(links):
+        root = {x: x for x in prints}
+        for _ in prints:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert groups([tuple(x) for x in found]) == groups([tuple(x) for x in near])
+    bare = nodes.withColumn("keys", F.expr("transform(keys, (k, i) -> k ^ fp ^ cast(i as bigint))"))
+    links = similar.similar_groups(docs, bare, close=similar.print_pairs(nodes)).collect()
+    sets = {r.fp: shingles(dict(rows)[r.low]) for r in nodes.collect()}
+    sure = [tuple(x) for x in near if len(sets[min(x)] & sets[max(x)]) >= 0.8 * len(sets[min(x)] | sets[max(x)])]
+    assert links and {r.node for r in links} <= {x for p in sure for x in p}
+    assert all(groups(sure)[r.node] == groups(sure)[r.parent] for r in links)
