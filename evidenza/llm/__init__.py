@@ -1 +1 @@
-"""Operators for large text corpora; nothing else in the library imports this subpackage."""
+"""Operators for large text corpora; of it, the library itself imports storage.py alone."""
